@@ -84,9 +84,9 @@ def count_corpus(docs: DataFrame) -> DataFrame:
 class Trie:
     """The context trie, order by order: nodes (context and symbol) with counts, and what each context needs to predict.
 
-    A context predicts a symbol of its own with c / (kept + cut + q): kept is what its q nodes
-    count, cut the count of those pruned. The escape gets (cut + q) of that (method C, the pruned
-    mass added). After an escape, the symbols of the context left are excluded below: their number
+    A context predicts a symbol of its own with (c - 1/2) / (kept + cut): kept is what its q nodes
+    count, cut the count of those pruned. The escape gets the rest, (q/2 + cut) of that (method D,
+    the pruned mass added). After an escape, the symbols of the context left are excluded below: their number
     and their mass there are subtracted. Below order 0, all bytes not excluded are equally likely.
     """
 
@@ -131,10 +131,10 @@ class Trie:
             if not len(self.contexts[order]):
                 continue
             kept = np.maximum(0, self.kept[order][c] - mass[active])
-            escape = np.maximum(0, self.distinct[order][c] - number[active]) + self.cut[order][c]
-            total = kept + escape
+            escape = np.maximum(0, self.distinct[order][c] - number[active]) / 2 + self.cut[order][c]
+            total = kept + self.cut[order][c]
             hit = known & found
-            out[active[hit]] += np.log10(self.counts[order][place[hit]] / total[hit])
+            out[active[hit]] += np.log10((self.counts[order][place[hit]] - 0.5) / total[hit])
             miss = known & ~found
             left = miss & (escape > 0)
             out[active[left]] += np.log10(escape[left] / total[left])
