@@ -128,3 +128,42 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
                 power = power[: len(power) - span] * factor + power[span:]
                 factor, span = factor * factor, span * 2
         return mix(out[:n])
+
+
+#: Bits of a Bloom filter: 8 MB whatever it holds; beyond some ten million keys it lets more and more rows pass.
+BLOOM_BITS = 1 << 26
+
+
+def bloom(keys: DataFrame):
+    """A broadcast Bloom filter of the one long column of keys, its bits gathered in table form."""
+    k = F.col(keys.columns[0])
+    places = F.array(*[F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(BLOOM_BITS)) for seed in (1, 2)])
+    bits = keys.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("b")).toArrow()
+    words = np.zeros(BLOOM_BITS >> 6, np.int64)
+    words[bits.column("w").to_numpy()] = bits.column("b").to_numpy()
+    return keys.sparkSession.sparkContext.broadcast(words.tobytes())
+
+
+def maybe_in(docs: DataFrame, key: str, shared) -> DataFrame:
+    """The rows of docs whose long column `key` may be in the filter; none that is in it gets lost."""
+    return _passed(docs, key, shared, True)
+
+
+def surely_not_in(docs: DataFrame, key: str, shared) -> DataFrame:
+    return _passed(docs, key, shared, False)
+
+
+def _passed(docs: DataFrame, key: str, shared, wanted: bool) -> DataFrame:
+    places = [F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(BLOOM_BITS)) for seed in (1, 2)]
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.frombuffer(shared.value, np.uint64)
+        for b in batches:
+            found = np.ones(b.num_rows, bool)
+            for p in (b.column(len(columns)), b.column(len(columns) + 1)):
+                at = p.to_numpy()
+                found &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            yield b.select(range(len(columns))).filter(pa.array(found == wanted))
+
+    return docs.select("*", *[p.alias(f"_b{i}") for i, p in enumerate(places)]).mapInArrow(run, docs.schema)

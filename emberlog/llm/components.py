@@ -22,8 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     nodes move to where they point. A round leaves at most half of the nodes that still have
     neighbours, so rounds grow with the logarithm of the nodes. Tables are written between rounds.
     """
-    live = edges.select(_scramble(F.col("a")).alias("a"), _scramble(F.col("b")).alias("b")).where("a <> b")
-    live = common.saved(live.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    edges = common.saved(edges.where("a <> b").distinct(), "edges")
+    live = edges.select(_scramble(F.col("a")).alias("a"), _scramble(F.col("b")).alias("b"))
+    live = live.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     both = live.select("a").union(live.select("b")).distinct()
     at = both.select(F.col("a").alias("node"), F.col("a").alias("root"))
     while not live.isEmpty():

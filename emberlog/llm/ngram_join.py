@@ -1,14 +1,15 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
 Two sets with overlap o share their k smallest common elements within their first |x| - o + k
-elements, in any order of all elements. So with k = OVERLAP, sets that may link share k elements of
-their prefixes, or all of them in smaller sets. The order puts the n-grams that a bounded sample
+elements, in any order of all elements. So sets that may link share k = OVERLAP elements of
+their prefixes, or a SHARE-th of the smaller set if that is more. The order puts the n-grams that a bounded sample
 shows to be common last, least common first; it sets the cost, never the result.
 
 1. documents with equal sets become one row;
 2. the columns of the prefix incidence matrix (n-gram, rows) give candidates: in a short column all
    pairs, whose overlaps are summed over columns, and pairs below k or of too different sizes are
-   discarded; a long column joins its rows to one of them;
+   discarded; a long column is split by a second n-gram, and what is long even then joins its rows
+   to one of them;
 3. components of these candidates are families: linked rows are in one. Their whole sets are
    multiplied block by block, in groups of bounded size, and pairs that can no longer reach the
    size-derived bound are discarded between column blocks;
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
-SHINGLE, NUMERATOR, DENOMINATOR, OVERLAP = 4, 85, 100, 3
+SHINGLE, NUMERATOR, DENOMINATOR, OVERLAP, SHARE = 4, 85, 100, 3, 20
 #: Rows up to which a column gives pairs; rows and shingles of a block of a family; columns of a product block.
 SHORT, BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 32, 512, 1_000_000, 2048
 #: Documents sampled for the order, sampled documents from which an n-gram is common, and common n-grams kept.
-SAMPLED, COMMON, MOST_COMMON = 8000, 6, 1 << 17
+SAMPLED, COMMON, MOST_COMMON = 16000, 5, 1 << 17
 
 
 def shingles(raw: bytes | None, hashes: common.WordHashes, width: int) -> np.ndarray:
@@ -49,19 +50,22 @@ def least_overlap(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
-def prefix(s: np.ndarray, common_last: np.ndarray, rank: np.ndarray, num: int, den: int) -> np.ndarray:
+def least_shared(n):
+    """k for a set of n elements; of two sets the smaller one's holds."""
+    return np.maximum(OVERLAP, n // SHARE)
+
+
+def prefix(s: np.ndarray, common_last: np.ndarray, rank: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first elements in the common order: the rare ones, and the common ones after them."""
     n = len(s)
     need = least_overlap(n, num, den)
-    size = n - need + min(OVERLAP, need)
+    size = n - need + min(int(least_shared(n)), need)
     if not len(common_last):
-        return s[:size]
+        return s[:size], s[:0]
     at = np.minimum(np.searchsorted(common_last, s), len(common_last) - 1)
     hot = common_last[at] == s
-    out = s[~hot][:size]
-    if len(out) < size:
-        rest = s[hot][np.argsort(rank[at[hot]], kind="stable")]
-        out = np.concatenate([out, rest[: size - len(out)]])
-    return out
+    rare = s[~hot][:size]
+    return rare, s[hot][np.argsort(rank[at[hot]], kind="stable")][: size - len(rare)]
 
 
 def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +90,7 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def sets_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(_k1, _k2, rec, n, sig, prefix) for every row: set size, digest of the whole set, and prefix."""
+    """(_k1, _k2, rec, n, sig, prefix, hot) for every row: set size, digest of the whole set, rare and common part of the prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
     rec_type = docs.schema["rec"].dataType.simpleString()
 
@@ -102,30 +106,97 @@ def sets_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     s = shingles(raw, hashes, width)
                     sizes.append(len(s))
                     digests.append(xxh3_128_digest(s.tobytes()) if len(s) else None)
-                    prefixes.append(prefix(s, *shared.value, num, den).view(np.int64) if len(s) else np.zeros(0, np.int64))
-                flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32()), pa.array(np.concatenate(prefixes)))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), flat], names=["_k1", "_k2", "rec", "n", "sig", "prefix"])
+                    prefixes.append(prefix(s, *shared.value, num, den) if len(s) else (s, s))
+                flat = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, part)]), pa.int32()), pa.array(np.concatenate(part).view(np.int64))) for part in zip(*prefixes)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *flat], names=["_k1", "_k2", "rec", "n", "sig", "prefix", "hot"])
 
-    table = docs.select("_k1", "_k2", "rec", "text").mapInArrow(run, f"_k1 long, _k2 long, rec {rec_type}, n long, sig binary, prefix array<long>")
+    table = docs.select("_k1", "_k2", "rec", "text").mapInArrow(run, f"_k1 long, _k2 long, rec {rec_type}, n long, sig binary, prefix array<long>, hot array<long>")
     return common.saved(table.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def near_size(a: Column, b: Column, num: int, den: int) -> Column:
-    return F.least(a, b) * den >= F.greatest(a, b) * num
+def column_pairs(h: np.ndarray, row: np.ndarray, n: np.ndarray, num: int, den: int, *tag: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs (a, b, m) of rows, m the smaller size, from whole columns that come sorted by h; rows of too different sizes make none."""
+    first = np.flatnonzero(np.diff(h, prepend=h[0] ^ 1))
+    count = np.diff(np.append(first, len(h)))
+    place = np.arange(len(h)) - np.repeat(first, count)
+    out = []
+    for step in range(1, int(count.max())):
+        i = np.flatnonzero(place + step < np.repeat(count, count))
+        j = i + step
+        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        near = (small * den >= large * num) & (row[i] != row[j])
+        i, j = i[near], j[near]
+        out.append((np.minimum(row[i], row[j]), np.maximum(row[i], row[j]), small[near], *[c[i] for c in tag]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (row[:0], row[:0], n[:0], *[c[:0] for c in tag])
 
 
 def candidates(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) whose components hold every linked pair of reps(row, n, prefix)."""
-    cells = reps.select("row", "n", F.explode("prefix").alias("h"))
-    columns = cells.groupBy("h").agg(F.count("*").alias("c"), F.min("row").alias("first")).where("c > 1")
-    cells = common.saved(cells.join(columns, "h"), "cells")
-    short = cells.where(F.col("c") <= SHORT).select("h", "row", "n")
-    x, y = short.select("h", F.col("row").alias("a"), F.col("n").alias("m")), short.select("h", F.col("row").alias("b"), "n")
-    pairs = x.join(y, (x["h"] == y["h"]) & (F.col("a") < F.col("b")) & near_size(F.col("m"), F.col("n"), num, den))
-    need = F.least(F.lit(OVERLAP), F.ceil(F.greatest(F.col("m"), F.col("n")) * num / den))
-    pairs = pairs.groupBy("a", "b", "m", "n").agg(F.count("*").alias("o")).where(F.col("o") >= need).select("a", "b")
-    long = cells.where((F.col("c") > SHORT) & (F.col("row") != F.col("first"))).select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
-    return pairs.union(long)
+    """Edges (a, b) whose components hold every linked pair of reps(row, n, prefix, hot) of different sets.
+
+    The rows of a long column, or of a common n-gram, are dealt anew by it and each other n-gram of
+    their prefixes: rows that may link share k of these, so k - 1 besides it. What is still long
+    then joins its rows to one of them.
+    """
+    found, long = _columns(reps.select(F.explode("prefix").alias("h"), "row", "n"), num, den)
+    long = long.union(reps.select(F.explode("hot").alias("h"), "row"))
+    pairs = long.join(reps.select("row", "n", F.concat("prefix", "hot").alias("whole")), "row").select("h", "row", "n", F.explode("whole").alias("g")).where("g <> h")
+    again, _ = _columns(pairs.select(F.xxhash64("h", "g").alias("h"), "row", "n", F.col("h").alias("of")), num, den, of="of")
+    return found.union(again)
+
+
+def _columns(cells: DataFrame, num: int, den: int, of: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Edges from the columns of cells(h, row, n), and the cells (h, row) of long columns.
+
+    With `of`, cells have the column that theirs is part of: overlaps are summed for each such one,
+    and long columns give edges. Columns come sorted, so that a task streams them.
+    """
+    star = of is not None
+    cells = cells.repartition("h").sortWithinPartitions("h")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("m", pa.int64()), *[("of", pa.int64())] * star])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] = [np.zeros(0, np.int64)] * (3 + star)
+        hub = None  # (h, row) of a long column that goes on
+        for b in _then_none(batches):
+            if b is not None:
+                kept = [np.concatenate([old, b.column(i).to_numpy()]) for i, old in enumerate(kept)]
+            h, row, n, *tag = kept
+            if not len(h):
+                continue
+            cut = len(h) if b is None else int(np.searchsorted(h, h[-1]))
+            edges = [(row[:0],) * (3 + star)]
+            if b is not None and len(h) - cut > SHORT:  # the last column is long already: what is there can go
+                cut = len(h)
+            h, row, n, tag, kept = h[:cut], row[:cut], n[:cut], [c[:cut] for c in tag], [c[cut:] for c in kept]
+            if not len(h):
+                continue
+            first = np.flatnonzero(np.diff(h, prepend=h[0] ^ 1))
+            count = np.diff(np.append(first, len(h)))
+            hubs = row[first]
+            goes_on = hub is not None and h[0] == hub[0]
+            long = count > SHORT
+            if goes_on:
+                hubs[0], long[0] = hub[1], True
+            is_long = np.repeat(long, count)
+            spoke = is_long & (row != np.repeat(hubs, count)) if star else is_long
+            edges.append(((np.repeat(hubs, count) if star else h)[spoke], row[spoke], np.full(int(spoke.sum()), -1), *[c[spoke] for c in tag]))
+            hub = (h[-1], hubs[-1]) if long[-1] else None
+            alone = np.repeat(count == 1, count) | is_long
+            if not alone.all():
+                edges.append(column_pairs(h[~alone], row[~alone], n[~alone], num, den, *[c[~alone] for c in tag]))
+            arrays = [pa.array(np.concatenate(c)) for c in zip(*edges)]
+            if len(arrays[0]):
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    found = cells.mapInArrow(run, "a long, b long, m long" + ", of long" * star).groupBy("a", "b", "m", *["of"] * star).agg(F.count("*").alias("o"))
+    found = common.saved(found.where((F.col("m") < 0) | (F.col("o") >= F.greatest(F.lit(OVERLAP), F.floor(F.col("m") / SHARE)) - int(star))), "pairs")
+    edges = found if star else found.where("m >= 0")
+    return edges.select("a", "b"), found.where("m < 0").select(F.col("a").alias("h"), F.col("b").alias("row"))
+
+
+def _then_none(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
 
 
 def linked(sets: list[np.ndarray], split: int, num: int, den: int) -> list[tuple[int, int]]:
@@ -182,30 +253,21 @@ def linked(sets: list[np.ndarray], split: int, num: int, den: int) -> list[tuple
 def links(docs: DataFrame, members: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) that span the links within each family of members(_k1, _k2, row, n, family)."""
     totals = members.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
-    # two blocks of a family meet in one group; a family of one block is a group by itself
+    # two blocks of a family meet in one group, and each block itself in another; a family of one block is one group
     part = F.pmod(F.xxhash64("row"), F.col("parts"))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("p"), F.greatest("part", o).alias("q")))
-    placed = members.join(totals, "family").withColumn("part", part).select("_k1", "_k2", "row", "family", "part", "parts", F.explode(others).alias("pq"))
-    owned = docs.select("_k1", "_k2", "text").join(members.select("_k1", "_k2", "row"), ["_k1", "_k2"]).select("row", "text")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes()
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                some = b.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([shingles(raw, hashes, width).tobytes() for raw in common.binary(some.column(1))], pa.binary())], names=["row", "elements"])
-
-    owned = owned.mapInArrow(make, "row long, elements binary").dropDuplicates(["row"])
-    rows = owned.join(placed.select("row", "family", "part", "pq.p", "pq.q"), "row")
+    placed = members.join(totals, "family").withColumn("part", part).select("_k1", "_k2", "row", "family", "part", others.alias("pq"))
+    texts = common.maybe_in(docs.select("_k1", "_k2", "text"), "_k1", common.bloom(members.select("_k1")))
+    rows = texts.join(placed, ["_k1", "_k2"]).select("row", "text", "family", "part", F.explode("pq").alias("pq")).select("row", "text", "family", "part", "pq.p", "pq.q")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes]] = []
-        at = None
+        held: dict[int, tuple[int, np.ndarray]] = {}
+        at, hashes = None, common.WordHashes()
 
         def solve():
-            one = [(r, np.frombuffer(e, np.uint64)) for r, part, e in held if part == at[1]]
-            two = [(r, np.frombuffer(e, np.uint64)) for r, part, e in held if part != at[1]]
+            one = [(r, e) for r, (part, e) in held.items() if part == at[1]]
+            two = [(r, e) for r, (part, e) in held.items() if part != at[1]]
             every = one + two
             if len(every) > 1 and (two or at[1] == at[2]):
                 for i, j in linked([e for _, e in every], len(one) if two else 0, num, den):
@@ -213,12 +275,13 @@ def links(docs: DataFrame, members: DataFrame, width: int, num: int, den: int) -
 
         found: list[tuple[int, int]] = []
         for b in batches:
-            for row, e, family, part, p, q in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for row, raw, family, part, p, q in zip(b.column(0).to_pylist(), common.binary(b.column(1)), *(b.column(i).to_pylist() for i in range(2, 6))):
                 if (family, p, q) != at:
                     if held:
                         found += solve()
-                    held, at = [], (family, p, q)
-                held.append((row, part, e))
+                    held, at = {}, (family, p, q)
+                if row not in held:  # repeated rows have one key
+                    held[row] = (part, shingles(raw, hashes, width))
             if found:
                 yield common.batch(schema, list(zip(*found)))
                 found = []
@@ -227,7 +290,7 @@ def links(docs: DataFrame, members: DataFrame, width: int, num: int, den: int) -
         if found:
             yield common.batch(schema, list(zip(*found)))
 
-    return rows.select("row", "elements", "family", "part", "p", "q").repartition("family", "p", "q").sortWithinPartitions("family", "p", "q").mapInArrow(run, "a long, b long")
+    return rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q").mapInArrow(run, "a long, b long")
 
 
 def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -247,9 +310,10 @@ def join(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", width: int =
     keyed = _keyed(docs, carry)
     sets = sets_table(keyed, width, num, den)
     of = common.saved(sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("row").alias("rep")), "reps")
-    reps = sets.join(of.select(F.col("rep").alias("row")), "row").select("_k1", "_k2", "row", "n", "prefix")
-    families = components(candidates(reps.select("row", "n", "prefix"), num, den)).select(F.col("id").alias("row"), F.col("root").alias("family"))
-    members = common.saved(sets.select("_k1", "_k2", "row", "n").join(families, "row"), "families")
+    reps = sets.select("row", "n", "prefix", "hot").join(of.select(F.col("rep").alias("row")), "row")
+    families = components(candidates(reps, num, den)).where("id >= 0").select(F.col("id").alias("row"), F.col("root").alias("family"))
+    several = families.groupBy("family").agg(F.count("*").alias("c")).where("c > 1").select("family")
+    members = common.saved(sets.select("_k1", "_k2", "row", "n").join(families.join(several, "family"), "row"), "families")
     found = components(common.saved(links(keyed, members, width, num, den), "links"))
     class_of = of.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").select("sig", "rep", "root")
     # classes without a link are named by their own row, the others by a root; both kinds stay apart
