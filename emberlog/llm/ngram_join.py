@@ -8,9 +8,8 @@ shows to be common last, least common first; it sets the cost, never the result.
 1. documents with equal sets become one row;
 2. the columns of the prefix incidence matrix (n-gram, rows) give candidates: in a short column all
    pairs, whose overlaps are summed over columns, and pairs below k or of too different sizes are
-   discarded; a long column is split by a second n-gram, and what is long even then joins its rows
-   to one of them;
-3. components of these candidates are families: linked rows are in one. Their whole sets are
+   discarded; a long column, or one of a common n-gram, joins its rows;
+3. components of joined rows are families. The whole sets of pairs and of families are
    multiplied block by block, in groups of bounded size, and pairs that can no longer reach the
    size-derived bound are discarded between column blocks;
 4. components of the links give the result.
@@ -30,9 +29,9 @@ from .components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR, OVERLAP, SHARE = 4, 85, 100, 3, 20
 #: Rows up to which a column gives pairs; rows and shingles of a block of a family; columns of a product block.
-SHORT, BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 32, 512, 1_000_000, 2048
+SHORT, BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 256, 512, 1_000_000, 2048
 #: Documents sampled for the order, sampled documents from which an n-gram is common, and common n-grams kept.
-SAMPLED, COMMON, MOST_COMMON = 16000, 5, 1 << 17
+SAMPLED, COMMON, MOST_COMMON = 16000, 3, 1 << 17
 
 
 def shingles(raw: bytes | None, hashes: common.WordHashes, width: int) -> np.ndarray:
@@ -114,7 +113,7 @@ def sets_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return common.saved(table.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def column_pairs(h: np.ndarray, row: np.ndarray, n: np.ndarray, num: int, den: int, *tag: np.ndarray) -> tuple[np.ndarray, ...]:
+def column_pairs(h: np.ndarray, row: np.ndarray, n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, ...]:
     """Pairs (a, b, m) of rows, m the smaller size, from whole columns that come sorted by h; rows of too different sizes make none."""
     first = np.flatnonzero(np.diff(h, prepend=h[0] ^ 1))
     count = np.diff(np.append(first, len(h)))
@@ -126,48 +125,44 @@ def column_pairs(h: np.ndarray, row: np.ndarray, n: np.ndarray, num: int, den: i
         small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
         near = (small * den >= large * num) & (row[i] != row[j])
         i, j = i[near], j[near]
-        out.append((np.minimum(row[i], row[j]), np.maximum(row[i], row[j]), small[near], *[c[i] for c in tag]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (row[:0], row[:0], n[:0], *[c[:0] for c in tag])
+        out.append((np.minimum(row[i], row[j]), np.maximum(row[i], row[j]), small[near]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (row[:0], row[:0], n[:0])
 
 
-def candidates(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) whose components hold every linked pair of reps(row, n, prefix, hot) of different sets.
+def candidates(reps: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of reps(row, n, prefix, hot), and edges (a, b) of families: every linked pair of
+    different sets is among the pairs or within a family.
 
-    The rows of a long column, or of a common n-gram, are dealt anew by it and each other n-gram of
-    their prefixes: rows that may link share k of these, so k - 1 besides it. What is still long
-    then joins its rows to one of them.
+    A common n-gram's column isn't gathered: its rows are joined to a node of its own, a negative id.
+    They are few, as common n-grams only fill up prefixes that hold too few others.
     """
-    found, long = _columns(reps.select(F.explode("prefix").alias("h"), "row", "n"), num, den)
-    long = long.union(reps.select(F.explode("hot").alias("h"), "row"))
-    pairs = long.join(reps.select("row", "n", F.concat("prefix", "hot").alias("whole")), "row").select("h", "row", "n", F.explode("whole").alias("g")).where("g <> h")
-    again, _ = _columns(pairs.select(F.xxhash64("h", "g").alias("h"), "row", "n", F.col("h").alias("of")), num, den, of="of")
-    return found.union(again)
+    pairs, stars = _columns(reps.select(F.explode("prefix").alias("h"), "row", "n"), num, den)
+    hot = reps.select(F.explode("hot").alias("h"), "row").select(F.col("h").bitwiseOR(F.lit(-(1 << 63))).alias("a"), F.col("row").alias("b"))
+    return pairs, stars.union(hot)
 
 
-def _columns(cells: DataFrame, num: int, den: int, of: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Edges from the columns of cells(h, row, n), and the cells (h, row) of long columns.
+def _columns(cells: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs from the short columns of cells(h, row, n), and edges that join the rows of each long column.
 
-    With `of`, cells have the column that theirs is part of: overlaps are summed for each such one,
-    and long columns give edges. Columns come sorted, so that a task streams them.
+    Columns come sorted, so that a task streams them.
     """
-    star = of is not None
     cells = cells.repartition("h").sortWithinPartitions("h")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("m", pa.int64()), *[("of", pa.int64())] * star])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("m", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = [np.zeros(0, np.int64)] * (3 + star)
+        kept: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
         hub = None  # (h, row) of a long column that goes on
         for b in _then_none(batches):
             if b is not None:
                 kept = [np.concatenate([old, b.column(i).to_numpy()]) for i, old in enumerate(kept)]
-            h, row, n, *tag = kept
+            h, row, n = kept
             if not len(h):
                 continue
             cut = len(h) if b is None else int(np.searchsorted(h, h[-1]))
-            edges = [(row[:0],) * (3 + star)]
+            edges = [(row[:0],) * 3]
             if b is not None and len(h) - cut > SHORT:  # the last column is long already: what is there can go
                 cut = len(h)
-            h, row, n, tag, kept = h[:cut], row[:cut], n[:cut], [c[:cut] for c in tag], [c[cut:] for c in kept]
+            h, row, n, kept = h[:cut], row[:cut], n[:cut], [c[cut:] for c in kept]
             if not len(h):
                 continue
             first = np.flatnonzero(np.diff(h, prepend=h[0] ^ 1))
@@ -178,20 +173,19 @@ def _columns(cells: DataFrame, num: int, den: int, of: str | None = None) -> tup
             if goes_on:
                 hubs[0], long[0] = hub[1], True
             is_long = np.repeat(long, count)
-            spoke = is_long & (row != np.repeat(hubs, count)) if star else is_long
-            edges.append(((np.repeat(hubs, count) if star else h)[spoke], row[spoke], np.full(int(spoke.sum()), -1), *[c[spoke] for c in tag]))
+            spoke = is_long & (row != np.repeat(hubs, count))
+            edges.append((np.repeat(hubs, count)[spoke], row[spoke], np.full(int(spoke.sum()), -1)))
             hub = (h[-1], hubs[-1]) if long[-1] else None
             alone = np.repeat(count == 1, count) | is_long
             if not alone.all():
-                edges.append(column_pairs(h[~alone], row[~alone], n[~alone], num, den, *[c[~alone] for c in tag]))
+                edges.append(column_pairs(h[~alone], row[~alone], n[~alone], num, den))
             arrays = [pa.array(np.concatenate(c)) for c in zip(*edges)]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    found = cells.mapInArrow(run, "a long, b long, m long" + ", of long" * star).groupBy("a", "b", "m", *["of"] * star).agg(F.count("*").alias("o"))
-    found = common.saved(found.where((F.col("m") < 0) | (F.col("o") >= F.greatest(F.lit(OVERLAP), F.floor(F.col("m") / SHARE)) - int(star))), "pairs")
-    edges = found if star else found.where("m >= 0")
-    return edges.select("a", "b"), found.where("m < 0").select(F.col("a").alias("h"), F.col("b").alias("row"))
+    found = cells.mapInArrow(run, "a long, b long, m long").groupBy("a", "b", "m").agg(F.count("*").alias("o"))
+    found = common.saved(found.where((F.col("m") < 0) | (F.col("o") >= F.greatest(F.lit(OVERLAP), F.floor(F.col("m") / SHARE)))), "pairs")
+    return found.where("m >= 0").select("a", "b"), found.where("m < 0").select("a", "b")
 
 
 def _then_none(batches: Iterator) -> Iterator:
@@ -250,15 +244,21 @@ def linked(sets: list[np.ndarray], split: int, num: int, den: int) -> list[tuple
     return edges
 
 
-def links(docs: DataFrame, members: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that span the links within each family of members(_k1, _k2, row, n, family)."""
-    totals = members.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+def links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, families: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that span the links among pairs(a, b) and within each family of families(row, family)."""
+    sizes = families.join(sets.select("row", "n"), "row")
+    totals = sizes.groupBy("family").agg(F.count("*").alias("c"), F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")).where("c > 1")
     # two blocks of a family meet in one group, and each block itself in another; a family of one block is one group
     part = F.pmod(F.xxhash64("row"), F.col("parts"))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("p"), F.greatest("part", o).alias("q")))
-    placed = members.join(totals, "family").withColumn("part", part).select("_k1", "_k2", "row", "family", "part", others.alias("pq"))
-    texts = common.maybe_in(docs.select("_k1", "_k2", "text"), "_k1", common.bloom(members.select("_k1")))
-    rows = texts.join(placed, ["_k1", "_k2"]).select("row", "text", "family", "part", F.explode("pq").alias("pq")).select("row", "text", "family", "part", "pq.p", "pq.q")
+    placed = families.join(totals, "family").withColumn("part", part).select("row", "family", "part", F.explode(others).alias("pq")).select("row", "family", "part", "pq.p", "pq.q")
+    # a pair goes to the group of its smaller row, which is compared with each of its partners; such parts are negative
+    one, two = F.lit(-2).cast("long"), F.lit(-1).cast("long")
+    ends = F.array(F.struct(F.col("a").alias("row"), F.col("a").alias("family"), one.alias("part")), F.struct(F.col("b").alias("row"), F.col("a").alias("family"), two.alias("part")))
+    stars = pairs.select(F.explode(ends).alias("s")).distinct().select("s.row", "s.family", "s.part", one.alias("p"), two.alias("q"))
+    asked = common.saved(placed.unionByName(stars).join(sets.select("_k1", "_k2", "row"), "row"), "asked")
+    texts = common.maybe_in(docs.select("_k1", "_k2", "text"), "_k1", common.bloom(asked.select("_k1").distinct()))
+    rows = texts.join(asked, ["_k1", "_k2"]).select("row", "text", "family", "part", "p", "q")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,6 +282,9 @@ def links(docs: DataFrame, members: DataFrame, width: int, num: int, den: int) -
                     held, at = {}, (family, p, q)
                 if row not in held:  # repeated rows have one key
                     held[row] = (part, shingles(raw, hashes, width))
+                if p < 0 and len(held) > BLOCK_ROWS:
+                    found += solve()
+                    held = {r: x for r, x in held.items() if x[0] == p}
             if found:
                 yield common.batch(schema, list(zip(*found)))
                 found = []
@@ -290,7 +293,7 @@ def links(docs: DataFrame, members: DataFrame, width: int, num: int, den: int) -
         if found:
             yield common.batch(schema, list(zip(*found)))
 
-    return rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q").mapInArrow(run, "a long, b long")
+    return rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "part").mapInArrow(run, "a long, b long")
 
 
 def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -311,10 +314,9 @@ def join(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", width: int =
     sets = sets_table(keyed, width, num, den)
     of = common.saved(sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("row").alias("rep")), "reps")
     reps = sets.select("row", "n", "prefix", "hot").join(of.select(F.col("rep").alias("row")), "row")
-    families = components(candidates(reps, num, den)).where("id >= 0").select(F.col("id").alias("row"), F.col("root").alias("family"))
-    several = families.groupBy("family").agg(F.count("*").alias("c")).where("c > 1").select("family")
-    members = common.saved(sets.select("_k1", "_k2", "row", "n").join(families.join(several, "family"), "row"), "families")
-    found = components(common.saved(links(keyed, members, width, num, den), "links"))
+    pairs, edges = candidates(reps, num, den)
+    families = components(edges).where("id >= 0").select(F.col("id").alias("row"), F.col("root").alias("family"))
+    found = components(common.saved(links(keyed, sets, pairs, families, width, num, den), "links"))
     class_of = of.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").select("sig", "rep", "root")
     # classes without a link are named by their own row, the others by a root; both kinds stay apart
     rows = sets.select("_k1", "_k2", "row", "rec", "n", "sig").join(class_of, "sig", "left")
