@@ -30,8 +30,9 @@ from .components import components
 SHINGLE, NUMERATOR, DENOMINATOR, OVERLAP, SHARE = 4, 85, 100, 3, 20
 #: Rows up to which a column gives pairs; rows and shingles of a block of a family; columns of a product block.
 SHORT, BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 256, 512, 1_000_000, 2048
-#: Documents sampled for the order, sampled documents from which an n-gram is common, and common n-grams kept.
-SAMPLED, COMMON, MOST_COMMON = 16000, 3, 1 << 17
+#: One document in so many is sampled for the order, so that the columns of rare n-grams have a like length at any
+#: size; sampled documents from which an n-gram is common; and common n-grams kept at most, which bounds the broadcast.
+SAMPLED, COMMON, MOST_COMMON = 16, 3, 1 << 18
 
 
 def shingles(raw: bytes | None, hashes: common.WordHashes, width: int) -> np.ndarray:
@@ -68,9 +69,8 @@ def prefix(s: np.ndarray, common_last: np.ndarray, rank: np.ndarray, num: int, d
 
 
 def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of common n-grams, and their ranks, rarest first, from about SAMPLED rows."""
-    n = docs.count()
-    part = docs.where(F.pmod(F.xxhash64("_k1", "_k2"), F.lit(max(1, n))) < SAMPLED).select("text")
+    """Sorted hashes of common n-grams, and their ranks, rarest first, from one row in SAMPLED."""
+    part = docs.where(F.pmod(F.xxhash64("_k1", "_k2"), F.lit(SAMPLED)) == 0).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = common.WordHashes()
