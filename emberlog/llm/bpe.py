@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: States of the determinised machine, and pre-tokens whose output is remembered; beyond, they are dropped and made anew.
-MOST_STATES = 120_000
-MOST_PIECES = 300_000
+#: States of the determinised machine, dropped and made anew beyond that; pre-tokens whose output is remembered, of which
+#: those not met again while as many others came are dropped. Together these take some 500 MB in a Python worker at most.
+MOST_STATES = 300_000
+MOST_PIECES = 700_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -139,10 +140,14 @@ class _Pieces(dict):
     def __init__(self, machine: Transducer):
         super().__init__()
         self.machine = machine
+        self.before: dict[str, str] = {}
 
     def __missing__(self, piece: str) -> str:
-        ids = " ".join(map(str, self.machine.encode(piece.encode())))
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = " ".join(map(str, self.machine.encode(piece.encode())))
         if len(self) > MOST_PIECES:
+            self.before = dict(self)
             self.clear()
         if len(piece) < 64:
             self[piece] = ids
