@@ -88,26 +88,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit xxhash of words, remembered up to a bounded number of distinct words."""
 
-    def __init__(self, seed: int = 0, most: int = 400_000):
+    def __init__(self, most: int = 400_000):
         from xxhash import xxh64_intdigest
 
-        self._digest, self._seed, self._most, self._memo = xxh64_intdigest, seed, most, {}
+        super().__init__()
+        self._digest, self._most = xxh64_intdigest, most
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = self._digest(word)
+        return value
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        memo = self._memo
-        if len(memo) > self._most:
-            memo.clear()
-        try:
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            digest, seed = self._digest, self._seed
-            for w in words:
-                if w not in memo:
-                    memo[w] = digest(w, seed)
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        if len(self) > self._most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:

@@ -130,8 +130,9 @@ def _digest(least: int, before: list[bytes], after: list[bytes]) -> bytes:
 
 
 def _suffix_rows(texts: DataFrame) -> DataFrame:
-    """(g, c, least, most, before, after): the suffixes by group, with the digest c of all their words."""
-    schema = pa.schema([("g", pa.int64()), ("c", pa.binary()), ("least", pa.int32()), ("most", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+    """Rows of two kinds: (k1, k2, place, c) names an anchor kept and the digest c of all words around it;
+    (g, c, least, most, before, after) is a suffix with these words, to be put into group g."""
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int64()), ("g", pa.int64()), ("c", pa.binary()), ("least", pa.int32()), ("most", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
@@ -139,9 +140,10 @@ def _suffix_rows(texts: DataFrame) -> DataFrame:
         sent: dict[bytes, bool] = {}
         rows: list[tuple] = []
         for b in batches:
-            for raw, found in zip(common.binary(b.column(0)), b.column(1).to_pylist()):
-                for _, n, least, most, before, after in _surroundings(raw, found):
+            for k1, k2, raw, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), common.binary(b.column(2)), b.column(3).to_pylist()):
+                for place, n, least, most, before, after in _surroundings(raw, found):
                     c = _digest(least, before, after)
+                    rows.append((k1, k2, place, None, c, None, None, None, None))
                     if sent.get(c):
                         continue
                     if len(sent) > REMEMBERED:
@@ -156,14 +158,14 @@ def _suffix_rows(texts: DataFrame) -> DataFrame:
                         left, right = before[len(before) - hi :], after[: WINDOW - lo]
                         prefix = after[:GRAM] if n <= GROUP else left + right
                         g = xxh3_64_intdigest(b" ".join(prefix), 0 if n <= GROUP else hi + 1)
-                        rows.append((g - (1 << 64) if g >> 63 else g, c, lo, hi, b" ".join(left), b" ".join(right)))
+                        rows.append((None, None, None, g - (1 << 64) if g >> 63 else g, c, lo, hi, b" ".join(left), b" ".join(right)))
                 if len(rows) > 20_000:
                     yield common.batch(schema, list(zip(*rows)))
                     rows = []
         if rows:
             yield common.batch(schema, list(zip(*rows)))
 
-    return texts.select("text", "anchors").mapInArrow(run, "g long, c binary, least int, most int, before binary, after binary")
+    return texts.select("_k1", "_k2", "text", "anchors").mapInArrow(run, "k1 long, k2 long, place long, g long, c binary, least int, most int, before binary, after binary")
 
 
 def _tree_rows(suffixes: DataFrame) -> DataFrame:
@@ -205,19 +207,6 @@ def _tree_rows(suffixes: DataFrame) -> DataFrame:
     return suffixes.repartition(F.col("g")).sortWithinPartitions("g").mapInArrow(run, "c binary, bits long")
 
 
-def _link_rows(texts: DataFrame) -> DataFrame:
-    """(row, place, c) for every anchor kept."""
-    schema = pa.schema([("row", pa.int64()), ("place", pa.int64()), ("c", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(row, place, _digest(least, before, after)) for row, raw, found in zip(b.column(0).to_pylist(), common.binary(b.column(1)), b.column(2).to_pylist()) for place, _, least, _, before, after in _surroundings(raw, found)]
-            if rows:
-                yield common.batch(schema, list(zip(*rows)))
-
-    return texts.select("row", "text", "anchors").mapInArrow(run, "row long, place long, c binary")
-
-
 def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> DataFrame:
     """For every row of docs: rec (a struct of the columns in carry), n_words, n_removed, kept_sha256 and,
     with texts, kept: the words left joined by one space, or the text as it is where none goes.
@@ -228,58 +217,46 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
     """
     rows = docs.select(F.struct(*carry).alias("rec"), F.col("text").cast("string").alias("text"))
     rows = rows.select("rec", "text", F.xxhash64("rec", "text").alias("_k1"), F.hash("text", "rec").cast("long").alias("_k2"))
-    found = _anchor_rows(rows)
+    found = common.saved(_anchor_rows(rows), "anchors")
     repeated = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     kept = found.join(repeated, "h").groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(F.collect_set(F.struct("p", "n")).alias("anchors"))
-    joined = rows.join(kept, ["_k1", "_k2"], "left").select("rec", "text", "anchors")
+    kept = common.saved(kept, "kept")
+    pending = common.maybe_in(rows.select("_k1", "_k2", "text"), "_k1", common.bloom(kept.select("_k1"))).join(kept, ["_k1", "_k2"])
+    suffixes = common.saved(_suffix_rows(pending), "suffixes")
+    trees = _tree_rows(suffixes.where("g IS NOT NULL").select("g", "c", "least", "most", "before", "after"))
+    links = suffixes.where("g IS NULL").select("c", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "place")
+    marks = links.join(trees.distinct(), "c").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("place", "bits")).alias("marks"))
+    marks = common.saved(marks, "marks")
     rec_type = rows.schema["rec"].dataType.simpleString()
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            pending = b.column(2).is_valid().to_pylist()
-            raws = common.binary(b.column(1))
-            words = [raw.split() if raw else [] for raw in raws]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array([raw if texts or p else None for raw, p in zip(raws, pending)], pa.binary()).cast(pa.string()),
-                    b.column(2),
-                    pa.array([len(w) for w in words], pa.int64()),
-                    pa.array([None if p else hashlib.sha256(b" ".join(w)).hexdigest() for w, p in zip(words, pending)], pa.string()),
-                ],
-                names=["rec", "text", "anchors", "n_words", "kept_sha256"],
-            )
-
-    table = joined.mapInArrow(settle, f"rec {rec_type}, text string, anchors array<struct<p:long,n:long>>, n_words long, kept_sha256 string")
-    table = common.saved(table.withColumn("row", F.monotonically_increasing_id()), "repeats")
-    pending = table.where(F.col("anchors").isNotNull())
-    marks = _link_rows(pending).join(_tree_rows(_suffix_rows(pending)).distinct(), "c").groupBy("row").agg(F.collect_list(F.struct("place", "bits")).alias("marks"))
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            removed, digests, left = [], [], []
+            counts, removed, digests, left = [], [], [], []
             for raw, marks in zip(common.binary(b.column(1)), b.column(2).to_pylist()):
-                words = raw.split()
-                edge = np.zeros(len(words) + 1, np.int64)
-                for m in marks or ():
-                    bits = m["bits"]
-                    while bits:
-                        start = m["place"] - (bits & -bits).bit_length() + 1
-                        edge[start] += 1
-                        edge[start + WINDOW] -= 1
-                        bits &= bits - 1
-                gone = np.cumsum(edge[:-1]) > 0
-                kept = [w for w, g in zip(words, gone.tolist()) if not g] if marks else words
+                words = raw.split() if raw else []
+                kept = words
+                if marks:
+                    edge = np.zeros(len(words) + 1, np.int64)
+                    for m in marks:
+                        bits = m["bits"]
+                        while bits:
+                            start = m["place"] - (bits & -bits).bit_length() + 1
+                            edge[start] += 1
+                            edge[start + WINDOW] -= 1
+                            bits &= bits - 1
+                    kept = [w for w, g in zip(words, (np.cumsum(edge[:-1]) > 0).tolist()) if not g]
+                counts.append(len(words))
                 removed.append(len(words) - len(kept))
                 joined = b" ".join(kept)
                 digests.append(hashlib.sha256(joined).hexdigest())
                 left.append(joined if removed[-1] else raw)
-            arrays = [b.column(0), b.column(3), pa.array(removed, pa.int64()), pa.array(digests)]
+            arrays = [b.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(left, pa.binary()).cast(pa.string())] * texts, names=["rec", "n_words", "n_removed", "kept_sha256", *["kept"] * texts])
 
-    schema = f"rec {rec_type}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    done = table.where(F.col("anchors").isNull()).select("rec", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", *[F.col("text").alias("kept")] * texts)
-    return pending.join(marks, "row", "left").select("rec", "text", "marks", "n_words").mapInArrow(cut, schema).unionByName(done)
+    shared = common.bloom(marks.select("_k1"))
+    some = common.maybe_in(rows, "_k1", shared).join(marks, ["_k1", "_k2"], "left").select("rec", "text", "marks")
+    none = common.surely_not_in(rows, "_k1", shared).select("rec", "text", F.lit(None).cast(marks.schema["marks"].dataType).alias("marks"))
+    return some.unionByName(none).mapInArrow(cut, f"rec {rec_type}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
