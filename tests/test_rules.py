@@ -154,7 +154,7 @@ def test_random_rules(spark):
     rules = []
     for i in range(40):
         text = "\n".join(f"  s{k}: {{{atom()}}}" for k in range(3))
-        condition = rng.choice(["s0 and not s1 or s2", "1 of s*", "all of them", "not (s0 or s1) and s2", "s0 or s1 and s2", "not s0"])
+        condition = rng.choice(["s0 and not s1 or s2", "1 of s*", "all of s*", "not (s0 or s1) and s2", "s0 or s1 and s2", "not s0"])
         rules.append(parse_rule(f"detection:\n{text}\n  k: [ab, c]\n  condition: {condition} or (k and s0)", f"r{i:02}"))
     events = [{k: rng.choice([*values, None, 1, True, "ab\n", "xaby"]) for k in rng.sample("fgh", rng.randint(0, 3))} for _ in range(120)]
     df = spark.createDataFrame([(i, dumps(e)) for i, e in enumerate(events)], "i int, value string")
