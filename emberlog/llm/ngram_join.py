@@ -313,7 +313,10 @@ def join(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", width: int =
     keyed = _keyed(docs, carry)
     sets = sets_table(keyed, width, num, den)
     of = common.saved(sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("row").alias("rep")), "reps")
-    reps = sets.select("row", "n", "prefix", "hot").join(of.select(F.col("rep").alias("row")), "row")
+    # copies are few against all rows: what their filter lets pass needs no join, and its prefixes no shuffle
+    copies = common.bloom(sets.select("sig", "row").join(of, "sig").where("row <> rep").select("row"))
+    cells = sets.select("row", "n", "prefix", "hot")
+    reps = common.surely_not_in(cells, "row", copies).unionByName(common.maybe_in(cells, "row", copies).join(of.select(F.col("rep").alias("row")), "row").select("row", "n", "prefix", "hot"))
     pairs, edges = candidates(reps, num, den)
     families = components(edges).where("id >= 0").select(F.col("id").alias("row"), F.col("root").alias("family"))
     found = components(common.saved(links(keyed, sets, pairs, families, width, num, den), "links"))
