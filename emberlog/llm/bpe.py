@@ -36,8 +36,8 @@ class Transducer:
     of bytes. At the end of a pre-token just one configuration stands at a token's end.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], most: int | None = None):
+        self.ranks, self.most = ranks, most or MOST_STATES
         self.token = {i: t for t, i in ranks.items()}
         self.child: dict[int, int] = {}
         self.ends: list[int] = [-1]
@@ -116,7 +116,7 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if len(self.configs) > MOST_STATES:
+        if len(self.configs) > self.most:
             self._restart()
         state, out, moves = 0, [], self.moves
         for byte in piece:
@@ -137,16 +137,16 @@ class Transducer:
 class _Pieces(dict):
     """Pre-token to its ids, as decimal text joined by spaces."""
 
-    def __init__(self, machine: Transducer):
+    def __init__(self, machine: Transducer, most: int | None = None):
         super().__init__()
-        self.machine = machine
+        self.machine, self.most = machine, most or MOST_PIECES
         self.before: dict[str, str] = {}
 
     def __missing__(self, piece: str) -> str:
         ids = self.before.get(piece)
         if ids is None:
             ids = " ".join(map(str, self.machine.encode(piece.encode())))
-        if len(self) > MOST_PIECES:
+        if len(self) > self.most:
             self.before = dict(self)
             self.clear()
         if len(piece) < 64:
@@ -155,12 +155,12 @@ class _Pieces(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, states: int | None = None, pieces: int | None = None):
         import regex
 
         ranks = load_ranks(path)
         self.find = regex.compile(pattern)
-        self.pieces = _Pieces(Transducer(ranks))
+        self.pieces = _Pieces(Transducer(ranks, states), pieces)
         self.bytes_of = {str(i): t for t, i in ranks.items()}
 
     def encode(self, text: str) -> Iterator[str]:
@@ -207,30 +207,32 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(*what) -> Encoder:
     """One for each Python worker; the vocabulary file has to be at that path on every machine."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    if what not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[what] = Encoder(*what)
+    return _ENCODERS[what]
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False, text: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False, text: bool = False, states: int = MOST_STATES, pieces: int = MOST_PIECES) -> DataFrame:
     """For every row of docs(doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256; on request
     also ids (array of int) and decoded (the text decoded from them).
 
     One row out for each row in, in one pass without a shuffle. A null text counts as empty: no
     tokens, digests of nothing. A null or repeated doc_id is kept. Bytes that are not UTF-8 are
-    read as U+FFFD. Long texts go through in blocks. Other columns are ignored.
+    read as U+FFFD. Long texts go through in blocks. Other columns are ignored. states and pieces bound
+    what a Python worker remembers; they trade memory for time and don't change results.
     """
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids + ", decoded string" * text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = encoder(path, pattern)
+        machine = encoder(path, pattern, states, pieces)
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
