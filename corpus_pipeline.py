@@ -39,8 +39,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts become tokens; less is remembered than by default, as Python workers go on from stage to stage and keep it."""
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, states=60_000, pieces=100_000)
+    """Texts become tokens; less is remembered than by default, and for a task only, as Python workers go on from stage to stage."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, states=60_000, pieces=100_000, keep=False)
 
 
 STAGES = [("quality_classifier", quality), ("ngram_jaccard_join", near_duplicates), ("substring_dedup", substrings), ("benchmark_decontamination", decontaminate), ("byte_level_bpe", encode)]

@@ -218,14 +218,14 @@ def encoder(*what) -> Encoder:
     return _ENCODERS[what]
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False, text: bool = False, states: int = MOST_STATES, pieces: int = MOST_PIECES) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False, text: bool = False, states: int = MOST_STATES, pieces: int = MOST_PIECES, keep: bool = True) -> DataFrame:
     """For every row of docs(doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256; on request
     also ids (array of int) and decoded (the text decoded from them).
 
     One row out for each row in, in one pass without a shuffle. A null text counts as empty: no
     tokens, digests of nothing. A null or repeated doc_id is kept. Bytes that are not UTF-8 are
     read as U+FFFD. Long texts go through in blocks. Other columns are ignored. states and pieces bound
-    what a Python worker remembers; they trade memory for time and don't change results.
+    what a Python worker remembers, from task to task with keep; they trade memory for time and don't change results.
     """
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
@@ -253,6 +253,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False
                 arrays = [part.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]
                 arrays += [pa.array(rows[3], pa.list_(pa.int32()))] * ids + [pa.array(rows[4], pa.string())] * text
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids, *["decoded"] * text])
+        if not keep:
+            del machine
+            _ENCODERS.clear()
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

@@ -65,7 +65,7 @@ def _chunks(sums: np.ndarray, squares: np.ndarray, most: np.ndarray, sizes: np.n
 
 def _forward(raw: bytes, m: Model, keep: bool = False):
     """Probability of one text; with keep, what the backward pass needs. A very long text goes through in blocks of halves."""
-    block = 1 << 16 if not keep else 1 << 30
+    block = 1 << 14 if not keep else 1 << 30
     view = _places(raw)
     parts = []
     for at in range(0, len(view), block):  # block is a multiple of HALF
@@ -172,6 +172,7 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array([score(raw or b"", shared.value) >= THRESHOLD for raw in common.binary(b.column(at))], pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
 
