@@ -76,6 +76,20 @@ def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     )
 
 
+_BUILT: dict[str, tuple[str, object]] = {}
+
+
+def built(kind: str, name: str, make):
+    """What make() gives, made once in a Python worker while the same name is asked for; the last one of each kind is held.
+
+    Names have to be unique to what is broadcast: the address of a value is not, as workers outlive broadcasts.
+    """
+    if _BUILT.get(kind, ("", None))[0] != name:
+        _BUILT.pop(kind, None)
+        _BUILT[kind] = (name, make())
+    return _BUILT[kind][1]
+
+
 def chunks(values: list, size: int) -> Iterator[list]:
     for i in range(0, len(values), size):
         yield values[i : i + size]

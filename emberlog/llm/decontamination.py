@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -103,25 +104,19 @@ def covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-_BUILT: dict[int, Windows] = {}
-
-
 def _windows(shared, window: int) -> Windows:
-    key = id(shared.value)
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Windows(shared.value, window)
-    return _BUILT[key]
+    name, items = shared.value
+    return common.built("windows", f"{name} {window}", lambda: Windows(items, window))
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator:
-    """Broadcasts of (item_id as text, text) lists, of about block_bytes of text each at most."""
+    """Broadcasts of a name and (item_id as text, text) lists, of about block_bytes of text each at most."""
     bench = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("binary").alias("t"))
     size = bench.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     for k in range(blocks):
         part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
-        yield k, k == blocks - 1, bench.sparkSession.sparkContext.broadcast([(r.i, None if r.t is None else bytes(r.t)) for r in part.collect()])
+        yield k, k == blocks - 1, bench.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [(r.i, None if r.t is None else bytes(r.t)) for r in part.collect()]))
 
 
 def find_benchmark_text(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

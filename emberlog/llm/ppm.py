@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -201,16 +202,9 @@ def frequent_words(counts: DataFrame, most: int = MOST_WORDS) -> tuple[DataFrame
     return words, least, total, distinct
 
 
-_BUILT: dict[int, tuple] = {}
-
-
 def _built(shared) -> tuple:
-    key = id(shared.value)
-    if key not in _BUILT:
-        _BUILT.clear()
-        nodes, words, counts = shared.value
-        _BUILT[key] = Scorer(Trie(nodes)), dict(zip(words, np.log10(np.asarray(counts, np.float64) + SMOOTH).tolist()))
-    return _BUILT[key]
+    name, nodes, words, counts = shared.value
+    return common.built("trie", name, lambda: (Scorer(Trie(nodes)), dict(zip(words, np.log10(np.asarray(counts, np.float64) + SMOOTH).tolist()))))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -226,7 +220,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     nodes = trie_nodes(counts)
     words, least, total, distinct = frequent_words(counts)
     common_words = words.where(F.col("n") >= least).toArrow()
-    shared = spark.sparkContext.broadcast((nodes, common_words.column("w").to_pylist(), common_words.column("n").to_numpy()))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, nodes, common_words.column("w").to_pylist(), common_words.column("n").to_numpy()))
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), common.held_out(F.col("doc_id"), MODULUS).alias("held_out"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     rare_type = pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int32())]))

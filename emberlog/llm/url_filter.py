@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,19 +76,18 @@ class DigestArray:
         return out
 
 
-_OPEN: dict[int, DigestArray] = {}
-
-
 def _opened(shared) -> DigestArray:
-    key = id(shared.value)
-    if key not in _OPEN:
-        _OPEN.clear()
+    name, packed = shared.value
+
+    def mapped() -> DigestArray:
         fd, path = tempfile.mkstemp(suffix=".digests")
         with os.fdopen(fd, "wb") as f:
-            f.write(shared.value)
-        _OPEN[key] = DigestArray(path)
+            f.write(packed)
+        array = DigestArray(path)
         os.unlink(path)  # the mapping keeps the pages; nothing stays in the folder
-    return _OPEN[key]
+        return array
+
+    return common.built("digests", name, mapped)
 
 
 def judge(pages: DataFrame, rules=RULES, default: str = "allow", shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -107,7 +107,7 @@ def judge(pages: DataFrame, rules=RULES, default: str = "allow", shard_bytes: in
     out = pages.select("page_id", F.col("url").cast("string").alias("url"))
     id_type = out.schema["page_id"].dataType.simpleString()
     for k in range(shards):
-        shared = spark.sparkContext.broadcast(DigestArray.pack(rules[k::shards]))
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, DigestArray.pack(rules[k::shards])))
         last = k == shards - 1
         schema = f"page_id {id_type}, " + ("host string, path string, rule string, verdict string" if last else "url string, rule string, verdict string, host_length int")
 
