@@ -6,8 +6,10 @@ an anchor. The GRAM words from the anchor on are the prefix that partitions the
 
 1. prefixes that occur once are dropped: no window over them repeats;
 2. the others are counted; where a prefix has more suffixes than a group may hold, it is lengthened
-   until it spans a whole window, one group for each offset of the anchor;
-3. each group's suffixes are sorted into a suffix tree (the order and the common prefix lengths of
+   until it spans a whole window, one group for each offset of the anchor. Such a group's tree is one
+   node deep enough, and all that matters is whether it has two leaves: these are counted, never
+   gathered, however many there are;
+3. each other group's suffixes are sorted into a suffix tree (the order and the common prefix lengths of
    neighbours). At offset o a window is o words left of the anchor and the rest right of it: two
    leaves below one internal node of that depth, with o equal words on their left, repeat it;
 4. the offsets found go back to the anchors, and from there to the words of each document.
@@ -130,9 +132,10 @@ def _digest(least: int, before: list[bytes], after: list[bytes]) -> bytes:
 
 
 def _suffix_rows(texts: DataFrame) -> DataFrame:
-    """Rows of two kinds: (k1, k2, place, c) names an anchor kept and the digest c of all words around it;
-    (g, c, least, most, before, after) is a suffix with these words, to be put into group g."""
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int64()), ("g", pa.int64()), ("c", pa.binary()), ("least", pa.int32()), ("most", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+    """Rows of three kinds: (k1, k2, place, c) names an anchor kept and the digest c of all words around it;
+    (g, c, least, most, before, after) is a suffix with these words, to be put into group g;
+    (w, c, least) is one below a prefix that spans a whole window, with digest w, at offset least."""
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int64()), ("g", pa.int64()), ("w", pa.binary()), ("c", pa.binary()), ("least", pa.int32()), ("most", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
@@ -143,29 +146,26 @@ def _suffix_rows(texts: DataFrame) -> DataFrame:
             for k1, k2, raw, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), common.binary(b.column(2)), b.column(3).to_pylist()):
                 for place, n, least, most, before, after in _surroundings(raw, found):
                     c = _digest(least, before, after)
-                    rows.append((k1, k2, place, None, c, None, None, None, None))
+                    rows.append((k1, k2, place, None, None, c, None, None, None, None))
                     if sent.get(c):
                         continue
                     if len(sent) > REMEMBERED:
                         sent.clear()
                     sent[c] = c in sent
                     if n <= GROUP:
-                        spans = [(least, most)]
-                    else:
-                        spans = [(o, o) for o in range(least, most + 1)]
-                    for lo, hi in spans:
-                        # the words that all windows with these offsets share: the prefix of the group
-                        left, right = before[len(before) - hi :], after[: WINDOW - lo]
-                        prefix = after[:GRAM] if n <= GROUP else left + right
-                        g = xxh3_64_intdigest(b" ".join(prefix), 0 if n <= GROUP else hi + 1)
-                        rows.append((None, None, None, g - (1 << 64) if g >> 63 else g, c, lo, hi, b" ".join(left), b" ".join(right)))
+                        g = xxh3_64_intdigest(b" ".join(after[:GRAM]))
+                        rows.append((None, None, None, g - (1 << 64) if g >> 63 else g, None, c, least, most, b" ".join(before), b" ".join(after)))
+                        continue
+                    for o in range(least, most + 1):
+                        w = _digest(o, before[len(before) - o :], after[: WINDOW - o])
+                        rows.append((None, None, None, None, w, c, o, None, None, None))
                 if len(rows) > 20_000:
                     yield common.batch(schema, list(zip(*rows)))
                     rows = []
         if rows:
             yield common.batch(schema, list(zip(*rows)))
 
-    return texts.select("_k1", "_k2", "text", "anchors").mapInArrow(run, "k1 long, k2 long, place long, g long, c binary, least int, most int, before binary, after binary")
+    return texts.select("_k1", "_k2", "text", "anchors").mapInArrow(run, "k1 long, k2 long, place long, g long, w binary, c binary, least int, most int, before binary, after binary")
 
 
 def _tree_rows(suffixes: DataFrame) -> DataFrame:
@@ -224,7 +224,10 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
     pending = common.maybe_in(rows.select("_k1", "_k2", "text"), "_k1", common.bloom(kept.select("_k1"))).join(kept, ["_k1", "_k2"])
     suffixes = common.saved(_suffix_rows(pending), "suffixes")
     trees = _tree_rows(suffixes.where("g IS NOT NULL").select("g", "c", "least", "most", "before", "after"))
-    links = suffixes.where("g IS NULL").select("c", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "place")
+    whole = suffixes.where("w IS NOT NULL").select("w", "c", "least")
+    several = whole.groupBy("w").agg(F.count("*").alias("n")).where("n > 1")
+    trees = trees.unionByName(whole.join(several, "w").select("c", F.expr("shiftleft(1L, least)").alias("bits")))
+    links = suffixes.where("k1 IS NOT NULL").select("c", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "place")
     marks = links.join(trees.distinct(), "c").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("place", "bits")).alias("marks"))
     marks = common.saved(marks, "marks")
     rec_type = rows.schema["rec"].dataType.simpleString()
