@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Longest context in bytes; most nodes of one order, and words, that may be broadcast (a bound by counting, whatever the corpus).
+#: Longest context in bytes; most grams, and words, that may be broadcast, which sets the cost and never the result;
+#: context bytes whose nodes are found in one place; grams scored at once, at least.
 ORDER = 5
-MOST_NODES = 1 << 20
+MOST_GRAMS = 1 << 20
 MOST_WORDS = 1 << 18
+SHARED = 3
+BLOCK = 500_000
+_GRAM = (1 << 8 * (ORDER + 1)) - 1
 MODULUS = 10
 SMOOTH = 0.1
 _END = 10
@@ -39,9 +43,9 @@ def grams(seq: np.ndarray) -> np.ndarray:
 
 
 def count_corpus(docs: DataFrame) -> DataFrame:
-    """Rows (w, g, n): occurrences n of each training word w (the end: an empty w) and each gram g, over all training rows."""
-    source = docs.where(~common.held_out(F.col("doc_id"), MODULUS)).select(F.col("text").cast("string").alias("text"))
-    schema = pa.schema([("w", pa.binary()), ("g", pa.int64()), ("n", pa.int64())])
+    """Rows (w, g, n, m): occurrences of each training word w (the end: an empty w) and each gram g of any row, n in training rows, m in all."""
+    source = docs.select(F.col("text").cast("string").alias("text"), common.held_out(F.col("doc_id"), MODULUS).alias("held_out"))
+    schema = pa.schema([("w", pa.binary()), ("g", pa.int64()), ("n", pa.int64()), ("m", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, parts, size, waiting, width = Counter(), [], 0, [], 0
@@ -52,18 +56,22 @@ def count_corpus(docs: DataFrame) -> DataFrame:
 
         def flush():
             for some in common.chunks(list(words.items()), 50_000):
-                yield common.batch(schema, [[w for w, _ in some], pa.nulls(len(some), pa.int64()), [n for _, n in some]])
-            for keys, counts in squeeze() if parts else ():
+                yield common.batch(schema, [[w for w, _ in some], pa.nulls(len(some), pa.int64()), [n for _, n in some], [n for _, n in some]])
+            for flagged, counts in squeeze() if parts else ():
+                keys, at = np.unique(flagged & np.uint64(_GRAM), return_inverse=True)
+                n = np.bincount(at, np.where(flagged > _GRAM, 0, counts), len(keys)).astype(np.int64)
+                m = np.bincount(at, counts, len(keys)).astype(np.int64)
                 for i in range(0, len(keys), 100_000):
                     k = keys[i : i + 100_000].astype(np.int64)
-                    yield common.batch(schema, [pa.nulls(len(k), pa.binary()), pa.array(k), pa.array(counts[i : i + 100_000])])
+                    yield common.batch(schema, [pa.nulls(len(k), pa.binary()), pa.array(k), pa.array(n[i : i + 100_000]), pa.array(m[i : i + 100_000])])
 
         for b in batches:
-            for raw in common.binary(b.column(0)):
+            for raw, held in zip(common.binary(b.column(0)), b.column(1).to_pylist()):
                 tokens = (raw or b"").translate(common.LOWER).split()
-                words.update(tokens)
-                words[b""] += 1
-                waiting.append(grams(sequence(tokens)))
+                if not held:
+                    words.update(tokens)
+                    words[b""] += 1
+                waiting.append(grams(sequence(tokens)) | np.uint64(held * (_GRAM + 1)))  # a flag above the gram
                 width += len(waiting[-1])
                 if width > 1 << 21:
                     parts.append(np.unique(np.concatenate(waiting), return_counts=True))
@@ -79,7 +87,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
             parts.append(np.unique(np.concatenate(waiting), return_counts=True))
         yield from flush()
 
-    return source.mapInArrow(run, "w binary, g long, n long").groupBy("w", "g").agg(F.sum("n").alias("n"))
+    return source.mapInArrow(run, "w binary, g long, n long, m long").groupBy("w", "g").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 class Trie:
@@ -146,10 +154,24 @@ class Trie:
         return out
 
 
+class Known:
+    """log10 of the grams that are broadcast; NaN for others."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        by = np.argsort(keys)
+        self.keys, self.values = keys[by].astype(np.uint64), values[by]
+
+    def log_probability(self, g: np.ndarray) -> np.ndarray:
+        found, place = Trie._look(self.keys, g)
+        out = np.full(len(g), np.nan)
+        out[found] = self.values[place[found]]
+        return out
+
+
 class Scorer:
     """Sums code lengths; a direct-mapped memo keeps those of grams met before and does not change results."""
 
-    def __init__(self, trie: Trie, bits: int = 20):
+    def __init__(self, trie: Trie | Known, bits: int = 20):
         self.trie, self.shift = trie, np.uint64(64 - bits)
         self.keys, self.values = np.full(1 << bits, ~np.uint64(0)), np.zeros(1 << bits)
 
@@ -168,24 +190,58 @@ class Scorer:
         return out
 
 
-def trie_nodes(counts: DataFrame, most: int = MOST_NODES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Nodes of each order with at least 1/most of all counts: at most `most` of them by counting, so the broadcast is bounded.
+def _node(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(keys & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+    return keys, np.bincount(at, counts, len(keys))
+
 
-    All statistics cover all training rows; an order's rare nodes are left to the orders below.
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """Rows (g, m, lp): log10 of each gram's last byte after the bytes before it, by the trie of all training grams, none pruned.
+
+    Contexts that end in the same SHARED bytes lie in one partition, next to each other: so all nodes
+    of order SHARED and above that a gram needs are there, and a task streams them block by block.
+    The nodes of lower orders are broadcast: runs of SHARED bytes, at most 2^24 whatever the corpus.
     """
-    whole = counts.where("g IS NOT NULL").select("g", "n")
-    total = whole.agg(F.sum("n")).first()[0] or 0
-    least = -(-total // most)
-    parts = F.array(*[F.struct(F.lit(k).alias("k"), F.col("g").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("g")) for k in range(ORDER)])
-    lower = whole.select(F.explode(parts).alias("p"), "n").groupBy("p.k", "p.g").agg(F.sum("n").alias("n"))
-    rows = lower.unionByName(whole.select(F.lit(ORDER).alias("k"), "g", "n")).where(F.col("n") >= least).toArrow()
-    order, g, n = (rows.column(c).to_numpy() for c in ("k", "g", "n"))
-    out = []
-    for k in range(ORDER + 1):
-        own = order == k
-        by = np.argsort(g[own])
-        out.append((g[own][by].astype(np.uint64), n[own][by]))
-    return out
+    spark = counts.sparkSession
+    whole = counts.where("g IS NOT NULL").select("g", "n", "m")
+    low = whole.where("n > 0").groupBy(F.col("g").bitwiseAND((1 << 8 * SHARED) - 1).alias("g")).agg(F.sum("n").alias("n")).toArrow()
+    g, n = low.column("g").to_numpy().astype(np.uint64), low.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast([_node(g, n, k) for k in range(SHARED)])
+
+    def score_block(g: np.ndarray, n: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+        g = g.astype(np.uint64)
+        keys, counts = g[n > 0], n[n > 0]
+        trie = Trie([*shared.value, *(_node(keys, counts, k) for k in range(SHARED, ORDER + 1))])
+        return pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(m), pa.array(trie.log_probability(g))], names=["g", "m", "lp"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for b in batches:
+            parts.append([b.column(i).to_numpy() for i in range(4)])
+            size += b.num_rows
+            if size > BLOCK:
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                cut = int(np.searchsorted(columns[3], columns[3][-1]))  # the last context may go on
+                if cut:
+                    yield score_block(*(c[:cut] for c in columns[:3]))
+                parts, size = [[c[cut:] for c in columns]], len(columns[0]) - cut
+        if size:
+            yield score_block(*(np.concatenate(c) for c in list(zip(*parts))[:3]))
+
+    end = F.shiftright("g", 8).bitwiseAND((1 << 8 * SHARED) - 1)
+    return whole.select("g", "n", "m", end.alias("e")).repartition("e").sortWithinPartitions("e").mapInArrow(run, "g long, m long, lp double")
+
+
+def frequent_grams(scores: DataFrame, most: int | None = None) -> tuple[DataFrame, pa.Table]:
+    """The grams below the least number of occurrences that at most `most` grams reach, and those that reach it."""
+    rows = scores.groupBy(F.floor(F.log2("m") * 8).alias("l")).agg(F.count("*").alias("v"), F.min("m").alias("least")).orderBy(F.desc("l")).collect()
+    taken, least = 0, 1 << 62
+    for r in rows:
+        taken += r.v
+        if taken > (MOST_GRAMS if most is None else most):
+            break
+        least = r.least
+    return scores.where(F.col("m") < least), scores.where(F.col("m") >= least).select("g", "lp").toArrow()
 
 
 def frequent_words(counts: DataFrame, most: int = MOST_WORDS) -> tuple[DataFrame, int, int, int]:
@@ -203,8 +259,8 @@ def frequent_words(counts: DataFrame, most: int = MOST_WORDS) -> tuple[DataFrame
 
 
 def _built(shared) -> tuple:
-    name, nodes, words, counts = shared.value
-    return common.built("trie", name, lambda: (Scorer(Trie(nodes)), dict(zip(words, np.log10(np.asarray(counts, np.float64) + SMOOTH).tolist()))))
+    name, grams, values, words, counts = shared.value
+    return common.built("grams", name, lambda: (Scorer(Known(grams, values)), dict(zip(words, np.log10(np.asarray(counts, np.float64) + SMOOTH).tolist()))))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -217,10 +273,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     counts = common.saved(count_corpus(docs), "ppm-counts")
-    nodes = trie_nodes(counts)
+    rare_scores, scores = frequent_grams(common.saved(gram_scores(counts), "ppm-grams"))
     words, least, total, distinct = frequent_words(counts)
     common_words = words.where(F.col("n") >= least).toArrow()
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, nodes, common_words.column("w").to_pylist(), common_words.column("n").to_numpy()))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, scores.column("g").to_numpy(), scores.column("lp").to_numpy(), common_words.column("w").to_pylist(), common_words.column("n").to_numpy()))
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), common.held_out(F.col("doc_id"), MODULUS).alias("held_out"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     rare_type = pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int32())]))
@@ -230,12 +286,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 part = b.slice(at, 200)
-                n_tokens, n_known, logs, rare, scores, waiting = [], [], [], [], [], []
+                n_tokens, n_known, logs, rare, scores, others, waiting = [], [], [], [], [], [], []
 
                 def settle():
                     values = scorer(np.concatenate(waiting))
-                    ends = np.cumsum([len(w) for w in waiting])
-                    scores.extend(float(values[e - len(w) : e].sum()) for e, w in zip(ends, waiting))
+                    absent, at = np.isnan(values), 0
+                    values[absent] = 0
+                    for w in waiting:
+                        scores.append(float(values[at : at + len(w)].sum()))
+                        others.append(np.unique(w[absent[at : at + len(w)]], return_counts=True))
+                        at += len(w)
                     waiting.clear()
 
                 for raw in common.binary(part.column(1)):
@@ -254,12 +314,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
                         settle()
                 if waiting:
                     settle()
+                pairs = pa.StructArray.from_arrays([pa.array(np.concatenate([g for g, _ in others]).astype(np.int64)), pa.array(np.concatenate([k for _, k in others]).astype(np.int32))], names=["g", "k"])
+                other = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(g) for g, _ in others)]), pa.int32()), pairs)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs, pa.float64()), pa.array(rare, rare_type), pa.array(scores, pa.float64())],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "rare", "score"],
+                    [part.column(0), part.column(2), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs, pa.float64()), pa.array(rare, rare_type), other, pa.array(scores, pa.float64())],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "rare", "grams", "score"],
                 )
 
-    scored = source.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, logs double, rare array<struct<w:binary,n:int>>, score double")
+    scored = source.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, logs double, rare array<struct<w:binary,n:int>>, grams array<struct<g:long,k:int>>, score double")
     scored = common.saved(scored.withColumn("row", F.monotonically_increasing_id()), "ppm-scored")
     rare = (
         scored.select("row", F.explode("rare").alias("r"))
@@ -268,15 +330,22 @@ def score_documents(docs: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("rare_logs"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("rare_known"))
     )
+    other = (
+        scored.select("row", F.explode("grams").alias("r"))
+        .select("row", F.col("r.g").alias("g"), F.col("r.k").alias("k"))
+        .join(rare_scores.select("g", "lp"), "g")
+        .groupBy("row")
+        .agg(F.sum(F.col("k") * F.col("lp")).alias("other"))
+    )
     each = math.log10(total + SMOOTH * (distinct + 1))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.drop("rare", "grams").join(rare, "row", "left").join(other, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * each).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("other", F.lit(0.0))).alias("score"),
     )
 
 

@@ -214,6 +214,22 @@ def test_ppm_is_a_probability():
         assert np.array_equal(scorer(keys), scorer(keys)) and np.allclose(scorer(keys), trie.log_probability(keys))
 
 
+def test_lm_counts_every_gram(spark, docs, monkeypatch):
+    """Scores are those of the trie of all training grams, whatever is broadcast; a rare context stays known as the corpus grows."""
+    df = docs.select("doc_id", "text")
+    filler = spark.range(1000, 1400).selectExpr("id AS doc_id", "repeat('common words here ', 400) AS text")
+    df = df.union(filler)
+    rows = [(r.doc_id, ppm.grams(ppm.sequence((r.text or "").encode().translate(LOWER).split()))) for r in df.collect()]
+    keys, counts = np.unique(np.concatenate([g for d, g in rows if not common.is_held_out(d, 10)]), return_counts=True)
+    trie = ppm.Trie([ppm._node(keys, counts, k) for k in range(ppm.ORDER + 1)])
+    expected = sorted(((d, round(float(trie.log_probability(g).sum()), 5)) for d, g in rows), key=str)
+    assert counts.sum() > 1 << 20
+    for most, block in ((1 << 20, 500_000), (50, 100)):
+        monkeypatch.setattr(ppm, "MOST_GRAMS", most)
+        monkeypatch.setattr(ppm, "BLOCK", block)
+        assert sorted(((r.doc_id, round(r.score, 5)) for r in ppm.score_documents(df).collect()), key=str) == expected
+
+
 def accuracy(spark, module, label, fit, scored, threshold):
     folder = "/root/testdata/sf0.01"
     docs, labels = common.table(spark, folder, "documents"), common.table(spark, folder, "labels")
