@@ -14,8 +14,10 @@ from .nb_linear import MODULUS, labelled
 
 #: Bytes a filter sees and steps over, channels of a byte, filters, hidden units, and filter places in half a chunk.
 WIDTH, STRIDE, CHANNELS, FILTERS, HIDDEN, HALF = 8, 4, 8, 32, 16, 64
-#: Labelled rows of each class, and bytes of each, that are fitted on at most; the score covers whole texts.
-SAMPLE, LONGEST = 2200, 8192
+#: Labelled rows of each class that are fitted on at most; whole texts count, in the fit as in the score.
+SAMPLE = 2200
+#: Filter places that go through at once, a multiple of HALF.
+BLOCK = 1 << 14
 THRESHOLD = 0.3
 _PAD = np.zeros(WIDTH, np.uint8)
 
@@ -63,18 +65,21 @@ def _chunks(sums: np.ndarray, squares: np.ndarray, most: np.ndarray, sizes: np.n
     return sums / sizes[:, None], squares / sizes[:, None], most, sizes
 
 
+def _activations(view: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
+    x = m["embed"][view].reshape(-1, WIDTH * CHANNELS)
+    act = x @ m["conv"]
+    act += m["conv_b"]
+    return x, np.maximum(act, 0, out=act)
+
+
 def _forward(raw: bytes, m: Model, keep: bool = False):
     """Probability of one text; with keep, what the backward pass needs. A very long text goes through in blocks of halves."""
-    block = 1 << 14 if not keep else 1 << 30
     view = _places(raw)
-    parts = []
-    for at in range(0, len(view), block):  # block is a multiple of HALF
-        x = m["embed"][view[at : at + block]].reshape(-1, WIDTH * CHANNELS)
-        act = x @ m["conv"]
-        act += m["conv_b"]
-        np.maximum(act, 0, out=act)
-        sums, most, starts, sizes = _pool(act)
-        parts.append((sums, np.add.reduceat(act * act, starts), most, sizes))
+    parts, last = [], None
+    for at in range(0, len(view), BLOCK):
+        last = _activations(view[at : at + BLOCK], m)
+        sums, most, starts, sizes = _pool(last[1])
+        parts.append((sums, np.add.reduceat(last[1] * last[1], starts), most, sizes))
     sums, squares, most, sizes = (np.concatenate(p) for p in zip(*parts)) if len(parts) > 1 else parts[0]
     mean, square, top, total = _chunks(sums, squares, most, sizes)
     pooled = np.concatenate([mean, square, top], 1)
@@ -82,11 +87,12 @@ def _forward(raw: bytes, m: Model, keep: bool = False):
     both = np.concatenate([hidden.max(0), hidden.mean(0)])
     z = float(both @ m["out"] + m["out_b"][0])
     p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return (p, (view, x, act, sizes, total, top, pooled, hidden, both)) if keep else p
+    return (p, (view, last, most, sizes, total, pooled, hidden, both)) if keep else p
 
 
 def _gradients(raw: bytes, y: float, m: Model, weight: float) -> tuple[float, Model]:
-    p, (view, x, act, sizes, total, top, pooled, hidden, both) = _forward(raw, m, keep=True)
+    """Probability and gradients; a text of several blocks has its activations computed again block by block."""
+    p, (view, last, most, sizes, total, pooled, hidden, both) = _forward(raw, m, keep=True)
     dz = np.float32((p - y) * weight)
     g = {"out": dz * both, "out_b": np.array([dz], np.float32)}
     d_both = dz * m["out"]
@@ -97,21 +103,31 @@ def _gradients(raw: bytes, y: float, m: Model, weight: float) -> tuple[float, Mo
     d_pooled = d_hidden @ m["dense"].T
     d_mean, d_square, d_top = d_pooled[:, :FILTERS] / total[:, None], d_pooled[:, FILTERS : 2 * FILTERS] / total[:, None], d_pooled[:, 2 * FILTERS :]
     halves = len(sizes)
-    s_mean, s_square = np.zeros((halves, FILTERS), np.float32), np.zeros((halves, FILTERS), np.float32)
+    s_mean, s_square, s_top = (np.zeros((halves, FILTERS), np.float32) for _ in range(3))
     for shift in (0, 1) if halves > 1 else (0,):
         s_mean[shift : shift + len(d_mean)] += d_mean
         s_square[shift : shift + len(d_mean)] += d_square
-    owner = np.repeat(np.arange(halves), sizes.astype(int))
-    d_act = s_mean[owner] + 2 * act * s_square[owner]
-    for k in range(len(d_top)):  # the maximum's gradient goes to its first place in the chunk
-        lo = k * HALF
-        part = act[lo : lo + int(total[k])]
-        d_act[lo + part.argmax(0), np.arange(FILTERS)] += d_top[k]
-    d_act *= act > 0
-    g["conv"], g["conv_b"] = x.T @ d_act, d_act.sum(0)
-    d_x = (d_act @ m["conv"].T).reshape(-1, CHANNELS)
-    flat = view.ravel()
-    g["embed"] = np.stack([np.bincount(flat, d_x[:, c], 256) for c in range(CHANNELS)], 1).astype(np.float32)
+    if halves > 1:  # the maximum's gradient goes to its first place in the chunk
+        first = most[:-1] >= most[1:]
+        s_top[:-1] += np.where(first, d_top, 0)
+        s_top[1:] += np.where(first, 0, d_top)
+    else:
+        s_top += d_top
+    g["conv"], g["conv_b"], g["embed"] = 0, 0, 0
+    for at in range(0, len(view), BLOCK):
+        part = view[at : at + BLOCK]
+        x, act = last if len(view) <= BLOCK else _activations(part, m)
+        own = slice(at // HALF, at // HALF + -(-len(part) // HALF))
+        owner = np.repeat(np.arange(own.start, own.stop), sizes[own].astype(int))
+        d_act = s_mean[owner] + 2 * act * s_square[owner]
+        for k in range(own.start, own.stop):
+            lo = k * HALF - at
+            d_act[lo + act[lo : lo + HALF].argmax(0), np.arange(FILTERS)] += s_top[k]
+        d_act *= act > 0
+        g["conv"], g["conv_b"] = g["conv"] + x.T @ d_act, g["conv_b"] + d_act.sum(0)
+        d_x = (d_act @ m["conv"].T).reshape(-1, CHANNELS)
+        flat = part.ravel()
+        g["embed"] = g["embed"] + np.stack([np.bincount(flat, d_x[:, c], 256) for c in range(CHANNELS)], 1).astype(np.float32)
     return p, g
 
 
@@ -144,8 +160,8 @@ def score(raw: bytes, model: Model) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = labelled(docs, labels, "quality", sample, longest=LONGEST)
-    return fit([r[1][:LONGEST] for r in rows], np.array([r[2] for r in rows]))
+    rows = labelled(docs, labels, "quality", sample, longest=None)
+    return fit([r[1] for r in rows], np.array([r[2] for r in rows]))
 
 
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:

@@ -87,10 +87,10 @@ def score(raw: bytes, weights: np.ndarray, bias: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulus: int = MODULUS, longest: int = 1 << 16) -> list:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulus: int = MODULUS, longest: int | None = 1 << 16) -> list:
     """At most about `sample` rows of each class, chosen by a hash of the id, never those held out.
 
-    Rows with a null id, text or label are not learnt from; of an id's rows, the least text is. A text counts with its first `longest` characters here.
+    Rows with a null id, text or label are not learnt from; of an id's rows, the least text is. A text counts with its first `longest` characters here, whole with None.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id"), modulus)).dropDuplicates(["doc_id"])
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -99,7 +99,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulu
     for y, count in n.items():
         keep |= (F.col("y") == y) & (part < int(min(1.0, sample / count) * (1 << 20)))
     chosen = F.broadcast(rows.where(keep))  # about 2 * sample rows
-    found = docs.select("doc_id", F.substring("text", 1, longest).alias("text")).join(chosen, "doc_id").where(F.col("text").isNotNull())
+    found = docs.select("doc_id", (F.substring("text", 1, longest) if longest else F.col("text").cast("string")).alias("text")).join(chosen, "doc_id").where(F.col("text").isNotNull())
     found = found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     return sorted(((r.doc_id, bytes(r.text.encode()), r.y) for r in found.collect()), key=lambda r: (str(r[0]), r[1]))
 

@@ -262,6 +262,21 @@ def test_cnn_gradients():
         assert abs((loss[0] - loss[1]) / 2e-5 - g[k][at]) < 1e-4
 
 
+def test_cnn_learns_from_whole_texts(spark, monkeypatch):
+    texts = {i: "clean words " * 1000 + "bad end" * (i % 2) for i in range(20)}
+    docs, labels = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame([(i, 1 - i % 2) for i in texts], "doc_id long, quality int")
+    seen = []
+    with monkeypatch.context() as patch:
+        patch.setattr(byte_cnn, "fit", lambda given, _: seen.extend(given))
+        byte_cnn.train(docs, labels)
+    assert sorted(seen) == sorted(t.encode() for i, t in texts.items() if not common.is_held_out(i, nb_linear.MODULUS))
+    m, raw = {k: v.astype(np.float64) for k, v in byte_cnn.new_model(3).items()}, bytes(np.random.default_rng(0).integers(32, 120, 3000, dtype=np.uint8))
+    p, whole = byte_cnn._gradients(raw, 1.0, m, 1.0)
+    monkeypatch.setattr(byte_cnn, "BLOCK", 2 * byte_cnn.HALF)
+    q, blocks = byte_cnn._gradients(raw, 1.0, m, 1.0)
+    assert abs(p - q) < 1e-9 and all(np.allclose(whole[k], blocks[k], atol=1e-6) for k in m)
+
+
 def test_licenses(docs, empty):
     out = {r.doc_id: r for r in license_scan.scan(docs.where("doc_id IS NOT NULL")).collect()}
     assert out[15].licenses == "MIT-notice" and out[15].best_coverage == 1 and out[0].n_matches == 0 and license_scan.scan(empty).count() == 0
