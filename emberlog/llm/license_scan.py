@@ -120,9 +120,10 @@ class Templates:
     def matches(self, text: list[bytes]) -> list[tuple[str, float, int, int]]:
         """(name, coverage, first word, end) of every region that aligns with at least `coverage` of a template.
 
-        A region is a template's length and half as much again on each side of an occurrence of that
-        template word which the text holds least often; so alignments stay short in long texts, and
-        a notice that repeats is found each time. Texts that lack too many of a template's words
+        Around each occurrence of the template words that the text holds least often, regions are aligned: the
+        template's length where the word has its place in it, the same widened, and one and a half lengths to both
+        sides; so alignments stay short in long texts, and each copy of a notice that repeats is tried on its own.
+        Exact copies count first, then of regions that overlap that with the densest alignment. Texts that lack too many of a template's words
         are skipped: no alignment of theirs can reach the coverage.
         """
         own = [w for w in text if w in self.all]
@@ -147,17 +148,45 @@ class Templates:
                 spare -= counts[w]
                 if spare < 0:
                     break
-            reach, done = len(template) + len(template) // 2, -1
-            for at in sorted(set(seeds)):
-                if at < done:
-                    continue
-                start = max(done, at - reach, 0)
-                pairs = align(text[start : at + reach + 1], template)
-                if len(pairs) >= need:
-                    done = start + pairs[-1][0] + 1
-                    out.append((name, len(pairs) / len(template), start + pairs[0][0], done))
+            out += [(name, n / len(template), a, b) for a, b, n in self._copies(text, template, need, sorted(set(seeds)))]
         return sorted(out, key=lambda m: (m[2], m[0]))
 
+    @staticmethod
+    def _copies(text: list[bytes], template: list[bytes], need: float, seeds: list[int]) -> list[tuple[int, int, int]]:
+        """(first word, end, words matched) of regions that don't overlap."""
+        size, at_place = len(template), {}
+        for j, w in enumerate(template):
+            at_place.setdefault(w, []).append(j)
+        out, end = [], 0
+        for start in sorted({at - j for at in seeds for j in at_place[text[at]]}):
+            if start >= end and text[start : start + size] == template:
+                end = start + size
+                out.append((start, end, size))
+        todo = list(zip([0, *(m[1] for m in out)], [*(m[0] for m in out), len(text)]))
+        while todo:
+            low, high = todo.pop()
+            inside = seeds[bisect_left(seeds, low) : bisect_left(seeds, high)]
+            if high - low < need or not inside:
+                continue
+            regions = set()
+            for at in inside:
+                spans = [(at - j - wider, at - j + size + wider) for j in at_place[text[at]] for wider in (0, max(1, size // 4), size // 2)]
+                spans.append((at - size - size // 2, at + size + size // 2 + 1))
+                regions.update((max(low, a), min(high, b)) for a, b in spans)
+            found = set()
+            for a, b in regions:
+                if b - a >= need and len(pairs := align(text[a:b], template)) >= need:
+                    found.add((a + pairs[0][0], a + pairs[-1][0] + 1, len(pairs)))
+            chosen: list[tuple[int, int, int]] = []
+            for m in sorted(found, key=lambda m: (-m[2] / (size + m[1] - m[0]), m)):
+                at = bisect_left(chosen, m)
+                if (not at or chosen[at - 1][1] <= m[0]) and (at == len(chosen) or m[1] <= chosen[at][0]):
+                    chosen.insert(at, m)
+            out += chosen
+            if chosen:  # what lies between is tried again without the words taken
+                todo += zip([low, *(m[1] for m in chosen)], [*(m[0] for m in chosen), high])
+        return out
+
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """For every row of docs(doc_id, text): doc_id, n_words, n_matches, licenses (names, sorted, comma-joined),

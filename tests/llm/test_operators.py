@@ -288,6 +288,18 @@ def test_licenses(docs, empty):
     assert pairs == sorted(pairs) and all(list("xabcydefz")[i] == list("abcdefg")[j] for i, j in pairs) and len(pairs) == 6
 
 
+def test_licenses_that_repeat():
+    """Each of several consecutive notices is found, after other text, whole or edited."""
+    t = license_scan.Templates(license_scan.TEMPLATES, 0.8)
+    for head in ("", "x ", "some other words "):
+        for text, size in (("Released under the MIT License. ", 5), ("All rights reserved. ", 3), ("Released xx under the MIT License. ", 6)):
+            for n in (1, 2, 3, 50):
+                found = t.matches(license_scan.words_of((head + text * n + "y all").encode()))
+                first = len(head.split())
+                assert [m[1:] for m in found] == [(1.0, first + i * size, first + (i + 1) * size) for i in range(n)]
+    assert [m[2:] for m in t.matches(license_scan.words_of(b"x All rights reserved. All rights reserved. y all"))] == [(1, 4), (4, 7)]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
