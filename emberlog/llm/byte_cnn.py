@@ -160,7 +160,7 @@ def score(raw: bytes, model: Model) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = labelled(docs, labels, "quality", sample, longest=None)
+    rows = labelled(docs, labels, "quality", sample)
     return fit([r[1] for r in rows], np.array([r[2] for r in rows]))
 
 

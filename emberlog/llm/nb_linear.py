@@ -36,6 +36,12 @@ def hashed(text: np.ndarray, n: int) -> np.ndarray:
     return grams.astype(np.uint32)
 
 
+def present(raw: bytes) -> np.ndarray:
+    """The distinct features of a text; blocks of a very long one overlap by n - 1 bytes."""
+    text = np.frombuffer(b" " + raw.translate(common.LOWER) + b" ", np.uint8)
+    return np.unique(np.concatenate([np.unique(hashed(text[at : at + (1 << 20) + n - 1], n)) for n in LENGTHS for at in range(0, len(text), 1 << 20)]))
+
+
 def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 30, least: int = 8) -> tuple[np.ndarray, float]:
     """Weights by feature, and the bias.
 
@@ -43,7 +49,7 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 30, least: int = 8
     0; logistic regression with an L2 penalty is fitted on the scaled features. Features seen in
     fewer than `least` texts, or with |r| < 1, are left out: they are noise in long texts.
     """
-    rows = [np.unique(features(t)) for t in texts]
+    rows = [present(t) for t in texts]
     labels = np.asarray(labels, np.float64)
     counts = [np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)]
     for row, y in zip(rows, labels):
@@ -87,10 +93,10 @@ def score(raw: bytes, weights: np.ndarray, bias: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulus: int = MODULUS, longest: int | None = 1 << 16) -> list:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulus: int = MODULUS) -> list:
     """At most about `sample` rows of each class, chosen by a hash of the id, never those held out.
 
-    Rows with a null id, text or label are not learnt from; of an id's rows, the least text is. A text counts with its first `longest` characters here, whole with None.
+    Rows with a null id, text or label are not learnt from; of an id's rows, the least text is. Texts count whole.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id"), modulus)).dropDuplicates(["doc_id"])
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -99,7 +105,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulu
     for y, count in n.items():
         keep |= (F.col("y") == y) & (part < int(min(1.0, sample / count) * (1 << 20)))
     chosen = F.broadcast(rows.where(keep))  # about 2 * sample rows
-    found = docs.select("doc_id", (F.substring("text", 1, longest) if longest else F.col("text").cast("string")).alias("text")).join(chosen, "doc_id").where(F.col("text").isNotNull())
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").where(F.col("text").isNotNull())
     found = found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     return sorted(((r.doc_id, bytes(r.text.encode()), r.y) for r in found.collect()), key=lambda r: (str(r[0]), r[1]))
 

@@ -249,6 +249,14 @@ def test_classifiers(spark, docs, empty):
     assert 0 < nb_linear.score(b"x", *nb_linear.fit([], np.zeros(0))) < 1
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    long = "clean words " * 6000 + "bad end"
+    docs, labels = spark.createDataFrame([(i, long) for i in range(1, 4)], "doc_id long, text string"), spark.createDataFrame([(i, 1) for i in range(1, 4)], "doc_id long, toxic int")
+    found = nb_linear.labelled(docs, labels, "toxic", 10)
+    assert found and all(text == long.encode() for _, text, _ in found)
+    assert np.array_equal(nb_linear.present(long.encode() * 20), np.unique(nb_linear.features(long.encode() * 20)))
+
+
 def test_cnn_gradients():
     m = {k: v.astype(np.float64) for k, v in byte_cnn.new_model(3).items()}
     raw = bytes(np.random.default_rng(0).integers(32, 120, 1500, dtype=np.uint8))
