@@ -296,6 +296,14 @@ def test_licenses(docs, empty):
     assert pairs == sorted(pairs) and all(list("xabcydefz")[i] == list("abcdefg")[j] for i, j in pairs) and len(pairs) == 6
 
 
+def test_pipeline_writes_tokens(spark, docs):
+    import corpus_pipeline
+
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    out = corpus_pipeline.encode(spark, docs, "")
+    assert sorted(r.ids for r in out.collect()) == sorted(enc.encode_ordinary(r.text or "") for r in docs.collect())
+
+
 def test_licenses_that_repeat():
     """Each of several consecutive notices is found, after other text, whole or edited."""
     t = license_scan.Templates(license_scan.TEMPLATES, 0.8)
