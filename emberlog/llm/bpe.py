@@ -207,6 +207,23 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
+def encode_row(machine: Encoder, raw: bytes | None, ids: bool = False, text: bool = False) -> tuple[int, str, str, list[int], str]:
+    """Number of tokens, digest of the ids and of what the UTF-8 stream gives for them, and on request the ids and that text."""
+    count, id_hash, text_hash, all_ids, all_text, stream = 0, hashlib.sha256(), hashlib.sha256(), [], [], Utf8Stream()
+    for block in machine.encode(raw.decode("utf-8", "replace")) if raw else ():
+        id_hash.update((" " + block if count else block).encode())
+        count += block.count(" ") + 1
+        decoded = stream.feed(machine.decode(block))
+        text_hash.update(decoded.encode())
+        if ids:
+            all_ids += map(int, block.split(" "))
+        if text:
+            all_text.append(decoded)
+    rest = stream.close()
+    text_hash.update(rest.encode())
+    return count, id_hash.hexdigest(), text_hash.hexdigest(), all_ids, "".join([*all_text, rest]) if text else ""
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -238,17 +255,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False
                 part = b.slice(at, 1000)
                 rows: list[list] = [[], [], [], [], []]
                 for raw in common.binary(part.column(1)):
-                    count, id_hash, byte_hash, all_ids, all_text, stream = 0, hashlib.sha256(), hashlib.sha256(), [], [], Utf8Stream()
-                    for block in machine.encode(raw.decode("utf-8", "replace")) if raw else ():
-                        id_hash.update((" " + block if count else block).encode())
-                        count += block.count(" ") + 1
-                        decoded = machine.decode(block)
-                        byte_hash.update(decoded)
-                        if ids:
-                            all_ids += map(int, block.split(" "))
-                        if text:
-                            all_text.append(stream.feed(decoded))
-                    for column, value in zip(rows, (count, id_hash.hexdigest(), byte_hash.hexdigest(), all_ids, "".join([*all_text, stream.close()]))):
+                    for column, value in zip(rows, encode_row(machine, raw, ids, text)):
                         column.append(value)
                 arrays = [part.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]
                 arrays += [pa.array(rows[3], pa.list_(pa.int32()))] * ids + [pa.array(rows[4], pa.string())] * text

@@ -137,6 +137,20 @@ def test_bpe(docs, empty):
     assert bpe.encode_documents(empty, RANKS, PATTERN).count() == 0
 
 
+def test_bpe_digest_is_of_the_stream(monkeypatch):
+    fed = []
+
+    class Stream(bpe.Utf8Stream):
+        def feed(self, block):
+            fed.append(block)
+            return super().feed(block)
+
+    monkeypatch.setattr(bpe, "Utf8Stream", Stream)
+    raw = "é 漢字 🙂 text".encode()
+    row = bpe.encode_row(bpe.Encoder(RANKS, PATTERN), raw)
+    assert b"".join(fed) == raw and row[2] == sha(raw)
+
+
 def test_bpe_fuzz(monkeypatch):
     monkeypatch.setattr(bpe, "MOST_STATES", 50)
     monkeypatch.setattr(bpe, "MOST_PIECES", 20)
