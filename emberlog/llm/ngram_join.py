@@ -184,7 +184,7 @@ def _columns(cells: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     found = cells.mapInArrow(run, "a long, b long, m long").groupBy("a", "b", "m").agg(F.count("*").alias("o"))
-    found = common.saved(found.where((F.col("m") < 0) | (F.col("o") >= F.greatest(F.lit(OVERLAP), F.floor(F.col("m") / SHARE)))), "pairs")
+    found = common.saved(found.where((F.col("m") < 0) | (F.col("o") >= F.least(F.greatest(F.lit(OVERLAP), F.floor(F.col("m") / SHARE)), F.ceil(F.col("m") * num / den)))), "pairs")
     return found.where("m >= 0").select("a", "b"), found.where("m < 0").select("a", "b")
 
 

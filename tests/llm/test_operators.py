@@ -104,6 +104,13 @@ def test_ngram_join_near_copies(spark, monkeypatch, short, rows, columns, sample
     assert collected(out, "doc_id", "n_shingles", "component_id") == brute_links(given, 4, 85, 100)
 
 
+def test_ngram_join_small_sets(spark):
+    """Sets below OVERLAP elements link where the threshold lets them."""
+    given = [(0, "a b"), (1, "a b c"), (2, "x"), (3, "x y"), (4, "q r s t"), (5, "q r s")]
+    out = ngram_join.join(spark.createDataFrame(given, "doc_id long, text string"), ["doc_id"], width=1, num=60, den=100).select("rec.doc_id", "n_shingles", "component_id")
+    assert collected(out, "doc_id", "n_shingles", "component_id") == brute_links(given, 1, 60, 100)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, -7), (200, 200), (-7, 101)]
     roots = {r.id: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
