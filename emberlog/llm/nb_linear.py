@@ -18,9 +18,14 @@ SAMPLE = 2500
 MODULUS = 5
 
 
+def points(raw: bytes) -> np.ndarray:
+    """Code points of the lower-cased (A-Z) text between single spaces."""
+    return np.frombuffer(f" {raw.translate(common.LOWER).decode('utf-8', 'replace')} ".encode("utf-32-le"), np.uint32)
+
+
 def features(raw: bytes) -> np.ndarray:
-    """Hashed n-grams of the lower-cased (A-Z) UTF-8 text between single spaces, one for each place."""
-    text = np.frombuffer(b" " + raw.translate(common.LOWER) + b" ", np.uint8)
+    """Hashed n-grams of code points, one for each place."""
+    text = points(raw)
     return np.concatenate([hashed(text, n) for n in LENGTHS])
 
 
@@ -29,16 +34,16 @@ def hashed(text: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint32)
     grams = np.zeros(len(text) - n + 1, np.uint64)
     for i in range(n):
-        grams <<= np.uint64(8)
-        grams |= text[i : len(text) - n + 1 + i]
+        grams *= np.uint64(0x100000001B3)
+        grams += text[i : len(text) - n + 1 + i]
     grams *= np.uint64(0x9E3779B97F4A7C15)
     grams >>= np.uint64(64 - BITS)
     return grams.astype(np.uint32)
 
 
 def present(raw: bytes) -> np.ndarray:
-    """The distinct features of a text; blocks of a very long one overlap by n - 1 bytes."""
-    text = np.frombuffer(b" " + raw.translate(common.LOWER) + b" ", np.uint8)
+    """The distinct features of a text; blocks of a very long one overlap by n - 1 places."""
+    text = points(raw)
     return np.unique(np.concatenate([np.unique(hashed(text[at : at + (1 << 20) + n - 1], n)) for n in LENGTHS for at in range(0, len(text), 1 << 20)]))
 
 
@@ -83,10 +88,10 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 30, least: int = 8
 
 def score(raw: bytes, weights: np.ndarray, bias: float) -> float:
     total = bias
-    text = np.frombuffer(b" " + raw.translate(common.LOWER) + b" ", np.uint8)
+    text = points(raw)
     for n in LENGTHS:
         found: list[np.ndarray] = []
-        for at in range(0, max(1, len(text)), 1 << 20):  # blocks of a very long text overlap by n - 1 bytes
+        for at in range(0, max(1, len(text)), 1 << 20):  # blocks of a very long text overlap by n - 1 places
             grams = hashed(text[at : at + (1 << 20) + n - 1], n)
             found.append(grams[weights[grams] != 0])
         total += float(weights[np.unique(np.concatenate(found))].sum())

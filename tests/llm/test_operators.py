@@ -278,6 +278,12 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert np.array_equal(nb_linear.present(long.encode() * 20), np.unique(nb_linear.features(long.encode() * 20)))
 
 
+def test_toxicity_features_are_of_characters():
+    """As many n-grams in any script: one for each place of a character."""
+    for text in ("abcdefgh", "абвгдежз", "漢字仮名交文章語", "🙂🙃😀😁😂😃😄😅"):
+        assert len(nb_linear.features(text.encode())) == sum(8 + 2 - n + 1 for n in nb_linear.LENGTHS)
+
+
 def test_cnn_gradients():
     m = {k: v.astype(np.float64) for k, v in byte_cnn.new_model(3).items()}
     raw = bytes(np.random.default_rng(0).integers(32, 120, 1500, dtype=np.uint8))
