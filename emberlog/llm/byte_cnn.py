@@ -178,7 +178,7 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
             scores = np.array([score(raw or b"", shared.value) for raw in common.binary(b.column(1))], np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+    return common.mapped(source, run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
@@ -190,7 +190,7 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
             yield b.filter(pa.array([score(raw or b"", shared.value) >= THRESHOLD for raw in common.binary(b.column(at))], pa.bool_()))
         pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, docs.schema)
+    return common.mapped(docs, run, docs.schema)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: ASCII bytes that separate words, and the mapping of A-Z to a-z.
-_SPACES = b" \t\n\v\f\r"
+#: The mapping of A-Z to a-z.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -22,30 +23,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; a temporary one only in local mode, where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="emberlog-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
+_SAVED: list[str] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back; this cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/emberlog-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _SAVED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
 
+def drop(*tables: DataFrame) -> None:
+    """Deletes saved tables that nothing reads any more."""
+    for t in tables:
+        remove(t.sparkSession, t.saved_at)
+        _SAVED.remove(t.saved_at)
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    """Two longs that name a row by its id and whole text, nulls included; equal rows have equal keys."""
-    return [
-        F.xxhash64(F.col(doc_id), F.col(text)).alias("_k1"),
-        F.hash(F.col(text), F.col(doc_id)).cast("long").alias("_k2"),
-    ]
+
+def saved_so_far() -> int:
+    return len(_SAVED)
+
+
+def drop_since(spark: SparkSession, mark: int) -> None:
+    """Deletes the tables saved since saved_so_far() gave mark; what read them has to be written by then."""
+    for path in _SAVED[mark:]:
+        remove(spark, path)
+    del _SAVED[mark:]
 
 
 def held_out(doc_id: Column, modulus: int) -> Column:
@@ -57,11 +81,6 @@ def is_held_out(doc_id, modulus: int) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus == 0
 
 
-def words_of(raw: bytes) -> list[bytes]:
-    """The words [^\\x20\\x09-\\x0D]+ of UTF-8 text; bytes.split() splits at just these ASCII bytes."""
-    return raw.split()
-
-
 def binary(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding."""
     if pa.types.is_large_string(column.type):
@@ -77,19 +96,53 @@ def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 
 _BUILT: dict[str, tuple[str, object]] = {}
+_USED: set[str] = set()
 
 
 def built(kind: str, name: str, make):
-    """What make() gives, made once in a Python worker while the same name is asked for; the last one of each kind is held.
+    """What make() gives, made once in a Python worker while the same name is asked for; the last one of each kind is held,
+    until a task of `mapped` ends that did not ask for it.
 
     Names have to be unique to what is broadcast: the address of a value is not, as workers outlive broadcasts.
     """
+    _USED.add(kind)
     if _BUILT.get(kind, ("", None))[0] != name:
         _BUILT.pop(kind, None)
         _BUILT[kind] = (name, make())
     return _BUILT[kind][1]
 
 
+def _begin() -> None:
+    """Arrow takes memory from malloc, which can give all of it back."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    _USED.clear()
+
+
+def give_back() -> None:
+    """Workers go on from task to task and stage to stage: what was freed returns to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def _end() -> None:
+    for kind in set(_BUILT) - _USED:
+        del _BUILT[kind]
+    give_back()
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow(run, schema), whose workers give their memory back after each task."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
+        yield from run(batches)
+        _end()
+
+    return df.mapInArrow(lean, schema)
+
+
 def chunks(values: list, size: int) -> Iterator[list]:
     for i in range(0, len(values), size):
         yield values[i : i + size]
@@ -105,7 +158,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit xxhash of words, remembered up to a bounded number of distinct words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         from xxhash import xxh64_intdigest
 
         super().__init__()
@@ -177,4 +230,4 @@ def _passed(docs: DataFrame, key: str, shared, wanted: bool) -> DataFrame:
                 found &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
             yield b.select(range(len(columns))).filter(pa.array(found == wanted))
 
-    return docs.select("*", *[p.alias(f"_b{i}") for i, p in enumerate(places)]).mapInArrow(run, docs.schema)
+    return mapped(docs.select("*", *[p.alias(f"_b{i}") for i, p in enumerate(places)]), run, docs.schema)

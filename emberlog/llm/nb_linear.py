@@ -136,7 +136,7 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFram
             scores = np.array([score(raw or b"", weights, bias) for raw in common.binary(b.column(1))], np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+    return common.mapped(source, run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,7 +80,7 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
                 h, c = np.unique(np.concatenate(sets), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
 
-    rows = part.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= COMMON).orderBy(F.desc("c"), "h").limit(MOST_COMMON).toArrow()
+    rows = common.mapped(part, run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= COMMON).orderBy(F.desc("c"), "h").limit(MOST_COMMON).toArrow()
     h, c = rows.column("h").to_numpy().view(np.uint64), rows.column("c").to_numpy()
     by = np.argsort(h)
     rank = np.empty(len(h), np.int64)
@@ -109,7 +109,7 @@ def sets_table(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 flat = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, part)]), pa.int32()), pa.array(np.concatenate(part).view(np.int64))) for part in zip(*prefixes)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *flat], names=["_k1", "_k2", "rec", "n", "sig", "prefix", "hot"])
 
-    table = docs.select("_k1", "_k2", "rec", "text").mapInArrow(run, f"_k1 long, _k2 long, rec {rec_type}, n long, sig binary, prefix array<long>, hot array<long>")
+    table = common.mapped(docs.select("_k1", "_k2", "rec", "text"), run, f"_k1 long, _k2 long, rec {rec_type}, n long, sig binary, prefix array<long>, hot array<long>")
     return common.saved(table.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -183,7 +183,7 @@ def _columns(cells: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    found = cells.mapInArrow(run, "a long, b long, m long").groupBy("a", "b", "m").agg(F.count("*").alias("o"))
+    found = common.mapped(cells, run, "a long, b long, m long").groupBy("a", "b", "m").agg(F.count("*").alias("o"))
     found = common.saved(found.where((F.col("m") < 0) | (F.col("o") >= F.least(F.greatest(F.lit(OVERLAP), F.floor(F.col("m") / SHARE)), F.ceil(F.col("m") * num / den)))), "pairs")
     return found.where("m >= 0").select("a", "b"), found.where("m < 0").select("a", "b")
 
@@ -293,7 +293,7 @@ def links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, families: DataFram
         if found:
             yield common.batch(schema, list(zip(*found)))
 
-    return rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "part").mapInArrow(run, "a long, b long")
+    return common.mapped(rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "part"), run, "a long, b long")
 
 
 def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:

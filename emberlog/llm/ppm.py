@@ -87,7 +87,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
             parts.append(np.unique(np.concatenate(waiting), return_counts=True))
         yield from flush()
 
-    return source.mapInArrow(run, "w binary, g long, n long, m long").groupBy("w", "g").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    return common.mapped(source, run, "w binary, g long, n long, m long").groupBy("w", "g").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 class Trie:
@@ -229,7 +229,7 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             yield score_block(*(np.concatenate(c) for c in list(zip(*parts))[:3]))
 
     end = F.shiftright("g", 8).bitwiseAND((1 << 8 * SHARED) - 1)
-    return whole.select("g", "n", "m", end.alias("e")).repartition("e").sortWithinPartitions("e").mapInArrow(run, "g long, m long, lp double")
+    return common.mapped(whole.select("g", "n", "m", end.alias("e")).repartition("e").sortWithinPartitions("e"), run, "g long, m long, lp double")
 
 
 def frequent_grams(scores: DataFrame, most: int | None = None) -> tuple[DataFrame, pa.Table]:
@@ -321,7 +321,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "rare", "grams", "score"],
                 )
 
-    scored = source.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, logs double, rare array<struct<w:binary,n:int>>, grams array<struct<g:long,k:int>>, score double")
+    scored = common.mapped(source, run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, logs double, rare array<struct<w:binary,n:int>>, grams array<struct<g:long,k:int>>, score double")
     scored = common.saved(scored.withColumn("row", F.monotonically_increasing_id()), "ppm-scored")
     rare = (
         scored.select("row", F.explode("rare").alias("r"))
