@@ -263,9 +263,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False
         if not keep:
             del machine
             _ENCODERS.clear()
-            pa.default_memory_pool().release_unused()
 
-    return source.mapInArrow(run, schema)
+    return common.mapped(source, run, schema)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

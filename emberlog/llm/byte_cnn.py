@@ -188,7 +188,6 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array([score(raw or b"", shared.value) >= THRESHOLD for raw in common.binary(b.column(at))], pa.bool_()))
-        pa.default_memory_pool().release_unused()
 
     return common.mapped(docs, run, docs.schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import threading
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,7 +36,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-_SAVED: list[str] = []
+class _Saved(threading.local):
+    """Paths of the tables that a thread's queries have saved."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_SAVED = _Saved()
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -43,7 +51,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/emberlog-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _SAVED.append(path)
+    _SAVED.paths.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_at = path
     return out
@@ -58,18 +66,20 @@ def drop(*tables: DataFrame) -> None:
     """Deletes saved tables that nothing reads any more."""
     for t in tables:
         remove(t.sparkSession, t.saved_at)
-        _SAVED.remove(t.saved_at)
+        _SAVED.paths.remove(t.saved_at)
 
 
 def saved_so_far() -> int:
-    return len(_SAVED)
+    return len(_SAVED.paths)
 
 
-def drop_since(spark: SparkSession, mark: int) -> None:
-    """Deletes the tables saved since saved_so_far() gave mark; what read them has to be written by then."""
-    for path in _SAVED[mark:]:
-        remove(spark, path)
-    del _SAVED[mark:]
+def drop_since(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
+    """Deletes the tables saved since saved_so_far() gave mark, but for those to keep; what read them has to be written by then."""
+    kept = [t.saved_at for t in keep]
+    for path in _SAVED.paths[mark:]:
+        if path not in kept:
+            remove(spark, path)
+    _SAVED.paths[mark:] = kept
 
 
 def held_out(doc_id: Column, modulus: int) -> Column:

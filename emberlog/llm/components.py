@@ -27,6 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     live = live.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     both = live.select("a").union(live.select("b")).distinct()
     at = both.select(F.col("a").alias("node"), F.col("a").alias("root"))
+    old = []
     while not live.isEmpty():
         to = live.select(F.explode(F.array(F.struct("a", F.col("a").alias("t")), F.struct(F.col("b").alias("a"), F.col("a").alias("t")))).alias("p"))
         to = common.saved(to.groupBy("p.a").agg(F.min("p.t").alias("t")), "pointers")
@@ -35,5 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
         moved = live.join(to.withColumnRenamed("t", "x"), "a").select("b", "x").join(to.select(F.col("a").alias("b"), F.col("t").alias("y")), "b")
         live = moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         live = common.saved(live, "edges")
+        common.drop(*old, to)
+        old = [at, live]
     ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("node", _scramble(F.col("id")))
     return ids.join(at, "node").select("id", "root")

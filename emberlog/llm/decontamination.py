@@ -150,7 +150,7 @@ def find_benchmark_text(docs: DataFrame, benchmark: DataFrame, window: int = WIN
                     names=["doc_id", "n_words" if last else "text", "spans", "items"],
                 )
 
-        out = out.mapInArrow(find, schema)
+        out = common.mapped(out, find, schema)
     return out
 
 
@@ -167,7 +167,7 @@ def summary(found: DataFrame) -> DataFrame:
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    return found.mapInArrow(digest, f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return common.mapped(found, digest, f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,5 +186,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                 clean = [not (windows.matchers and (w := normal_words(raw)) and windows.hits(w)[0]) for raw in common.binary(b.column(at))]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
-        out = out.mapInArrow(keep, docs.schema)
+        out = common.mapped(out, keep, docs.schema)
     return out

@@ -221,7 +221,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
             )
 
     id_type = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {id_type}, n_words long, n_matches long, licenses string, best string, best_coverage double, matches array<struct<license:string,coverage:double,start:long,end:long>>")
+    return common.mapped(source, run, f"doc_id {id_type}, n_words long, n_matches long, licenses string, best string, best_coverage double, matches array<struct<license:string,coverage:double,start:long,end:long>>")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

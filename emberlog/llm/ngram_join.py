@@ -311,19 +311,24 @@ def join(docs: DataFrame, carry: list[str], doc_id: str = "doc_id", width: int =
     or empty text has an empty set, links with nothing, keeps its own id and is kept.
     """
     keyed = _keyed(docs, carry)
+    mark = common.saved_so_far()
     sets = sets_table(keyed, width, num, den)
     of = common.saved(sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("row").alias("rep")), "reps")
     # copies are few against all rows: what their filter lets pass needs no join, and its prefixes no shuffle
     copies = common.bloom(sets.select("sig", "row").join(of, "sig").where("row <> rep").select("row"))
     cells = sets.select("row", "n", "prefix", "hot")
     reps = common.surely_not_in(cells, "row", copies).unionByName(common.maybe_in(cells, "row", copies).join(of.select(F.col("rep").alias("row")), "row").select("row", "n", "prefix", "hot"))
+    tried = common.saved_so_far()
     pairs, edges = candidates(reps, num, den)
     families = components(edges).where("id >= 0").select(F.col("id").alias("row"), F.col("root").alias("family"))
-    found = components(common.saved(links(keyed, sets, pairs, families, width, num, den), "links"))
+    spanning = common.saved(links(keyed, sets, pairs, families, width, num, den), "links")
+    common.drop_since(docs.sparkSession, tried, spanning)
+    found = components(spanning)
     class_of = of.join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").select("sig", "rep", "root")
     # classes without a link are named by their own row, the others by a root; both kinds stay apart
     rows = sets.select("_k1", "_k2", "row", "rec", "n", "sig").join(class_of, "sig", "left")
     rows = common.saved(rows.select("_k1", "_k2", "row", "rec", "n", F.when(F.col("root").isNotNull(), F.col("root")).when(F.col("rep").isNotNull(), F.col("rep")).otherwise(F.col("row")).alias("c"), F.col("root").isNotNull().alias("big")), "classes")
+    common.drop_since(docs.sparkSession, mark, rows)
     least = rows.groupBy("c", "big").agg(F.min(f"rec.{doc_id}").alias("component_id"), F.min(F.struct(F.col(f"rec.{doc_id}").isNull().alias("z"), F.col(f"rec.{doc_id}").alias("i"), F.col("row").alias("r"))).alias("best"))
     return rows.join(least, ["c", "big"]).select("_k1", "_k2", "rec", F.col("n").alias("n_shingles"), "component_id", (F.col("best.r") == F.col("row")).alias("kept"))
 

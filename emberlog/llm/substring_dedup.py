@@ -114,7 +114,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
 
-    return source.mapInArrow(run, "h long, k1 long, k2 long, p long")
+    return common.mapped(source, run, "h long, k1 long, k2 long, p long")
 
 
 def _surroundings(raw: bytes, found: list[dict]):
@@ -165,7 +165,7 @@ def _suffix_rows(texts: DataFrame) -> DataFrame:
         if rows:
             yield common.batch(schema, list(zip(*rows)))
 
-    return texts.select("_k1", "_k2", "text", "anchors").mapInArrow(run, "k1 long, k2 long, place long, g long, w binary, c binary, least int, most int, before binary, after binary")
+    return common.mapped(texts.select("_k1", "_k2", "text", "anchors"), run, "k1 long, k2 long, place long, g long, w binary, c binary, least int, most int, before binary, after binary")
 
 
 def _tree_rows(suffixes: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def _tree_rows(suffixes: DataFrame) -> DataFrame:
         if size:
             yield solve(pa.concat_tables(held))
 
-    return suffixes.repartition(F.col("g")).sortWithinPartitions("g").mapInArrow(run, "c binary, bits long")
+    return common.mapped(suffixes.repartition(F.col("g")).sortWithinPartitions("g"), run, "c binary, bits long")
 
 
 def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> DataFrame:
@@ -221,8 +221,10 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
     repeated = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     kept = found.join(repeated, "h").groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(F.collect_set(F.struct("p", "n")).alias("anchors"))
     kept = common.saved(kept, "kept")
+    common.drop(found)
     pending = common.maybe_in(rows.select("_k1", "_k2", "text"), "_k1", common.bloom(kept.select("_k1"))).join(kept, ["_k1", "_k2"])
     suffixes = common.saved(_suffix_rows(pending), "suffixes")
+    common.drop(kept)
     trees = _tree_rows(suffixes.where("g IS NOT NULL").select("g", "c", "least", "most", "before", "after"))
     whole = suffixes.where("w IS NOT NULL").select("w", "c", "least")
     several = whole.groupBy("w").agg(F.count("*").alias("n")).where("n > 1")
@@ -230,6 +232,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
     links = suffixes.where("k1 IS NOT NULL").select("c", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "place")
     marks = links.join(trees.distinct(), "c").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("place", "bits")).alias("marks"))
     marks = common.saved(marks, "marks")
+    common.drop(suffixes)
     rec_type = rows.schema["rec"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +262,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
     shared = common.bloom(marks.select("_k1"))
     some = common.maybe_in(rows, "_k1", shared).join(marks, ["_k1", "_k2"], "left").select("rec", "text", "marks")
     none = common.surely_not_in(rows, "_k1", shared).select("rec", "text", F.lit(None).cast(marks.schema["marks"].dataType).alias("marks"))
-    return some.unionByName(none).mapInArrow(cut, f"rec {rec_type}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+    return common.mapped(some.unionByName(none), cut, f"rec {rec_type}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

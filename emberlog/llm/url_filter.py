@@ -142,7 +142,7 @@ def judge(pages: DataFrame, rules=RULES, default: str = "allow", shard_bytes: in
                 else:
                     yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), rule, verdict, pa.array([x[1] for x in best], pa.int32())], names=["page_id", "url", "rule", "verdict", "host_length"])
 
-        out = out.mapInArrow(run, schema)
+        out = common.mapped(out, run, schema)
     return out
 
 
