@@ -60,9 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage saved on its way, and its input, go once it is written."""
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        path = f"{common.shared_folder(spark)}/emberlog-pipeline-{name}-{uuid.uuid4().hex}"
+        path, mark = f"{common.shared_folder(spark)}/emberlog-pipeline-{name}-{uuid.uuid4().hex}", common.saved_so_far()
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        common.drop_since(spark, mark)
+        if before:
+            common.remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
