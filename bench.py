@@ -33,6 +33,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from emberlog.operators.match import tag_columns, tag_events
+    from emberlog.operators.output import select_output
     from emberlog.queries import flagship
     from emberlog.sources.tables import as_json_events, table
 
@@ -45,6 +46,8 @@ def main() -> None:
         return lambda: tag_columns(docs, rules).agg(F.sum(F.size("sigma_rule_ids"))).collect()
 
     runs = {f"match_{n}_rules": hits(many_rules(n)) for n in (10, 100, 1000)}
+    for n in (100, 1000):
+        runs[f"matched_only_{n}_rules"] = lambda n=n: select_output(tag_columns(docs, many_rules(n))).agg(F.sum(F.size("sigma_rule_ids"))).collect()
     runs["json_match_rules"] = lambda: tag_events(as_json_events(events), many_rules(10)).agg(F.sum(F.size("sigma_rule_ids"))).collect()
     runs["flagship"] = lambda: flagship(spark, folder).collect()
     try:

@@ -81,7 +81,8 @@ def run_parser(event: dict, parser: dict | None) -> tuple[dict, bool]:
 def parsed(value: Column, fields: list[str], with_raw: bool, parser: dict | None = None) -> Column:
     """A struct from event JSON: ok (an object), failed (its parser did), raw (compact JSON, lower-cased),
     values (of the fields, '' where missing), event (compact JSON after the parser). Null and malformed JSON
-    and other values than objects are not ok."""
+    and other values than objects are not ok. Declared non-deterministic, so that filters on the result don't
+    go below it, where each would parse once more."""
     names = list(fields)
 
     def parse(text):
@@ -96,7 +97,7 @@ def parsed(value: Column, fields: list[str], with_raw: bool, parser: dict | None
         flat = flatten(event)
         return True, failed, whole.lower() if with_raw else None, [flat.get(n, "") for n in names], whole if parser else None
 
-    return F.udf(parse, PARSED, useArrow=True)(value)
+    return F.udf(parse, PARSED, useArrow=True).asNondeterministic()(value)
 
 
 def merged(event: Column, extra: dict | None, ids: Column, detections_json: Column) -> Column:
@@ -112,4 +113,4 @@ def merged(event: Column, extra: dict | None, ids: Column, detections_json: Colu
         except (TypeError, ValueError, AttributeError):
             return None
 
-    return F.udf(merge, "string", useArrow=True)(event, ids, detections_json)
+    return F.udf(merge, "string", useArrow=True).asNondeterministic()(event, ids, detections_json)

@@ -26,7 +26,9 @@ def _tagged(df: DataFrame, keep: list[str], compiled: Compiled, hit: str, cases:
     ids = f"array_compact(array({', '.join(cases)}))" if cases else "CAST(array() AS array<string>)"
     tested = df.selectExpr(*names, *[f"{test} AS {name}" for test, name in compiled.tests.items()])
     flagged = tested.selectExpr(*names, *compiled.tests.values(), f"({hit}) AS prefiltered")
-    return flagged.selectExpr(*names, "prefiltered", f"CASE WHEN prefiltered THEN CAST(array() AS array<string>) ELSE {ids} END AS {IDS}")
+    # a partition's number is never below 0: it only keeps filters on the result above this projection. Pushed below, they would
+    # spell out each test in every rule that has it. Filters on other columns belong before the tagging.
+    return flagged.selectExpr(*names, "prefiltered", f"CASE WHEN prefiltered OR spark_partition_id() < 0 THEN CAST(array() AS array<string>) ELSE {ids} END AS {IDS}")
 
 
 def tag_events(df: DataFrame, rules: list[Rule], filters: list[Rule] = (), mapping: FieldMapping | None = None, parser: dict | None = None, value: str = "value") -> DataFrame:

@@ -45,7 +45,7 @@ def entry(text: str) -> tuple[str, str, str, bool] | None:
 
 def latest(control: DataFrame, job_id: str | None = None) -> DataFrame:
     """(job_id, kind, id, value): the newest message of each key in control(value, seq), deleted ones left out."""
-    rows = without_tombstones(control).withColumn("e", F.udf(entry, ENTRY, useArrow=True)("value")).where("e.kind IS NOT NULL")
+    rows = without_tombstones(control).withColumn("e", F.udf(entry, ENTRY, useArrow=True).asNondeterministic()("value")).where("e.kind IS NOT NULL")
     if job_id is not None:
         rows = rows.where(F.col("e.job_id") == job_id)
     newest = rows.groupBy("e.job_id", "e.kind", "e.id").agg(F.max_by(F.when(~F.col("e.deleted"), F.col("value")), "seq").alias("value"))

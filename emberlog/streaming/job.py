@@ -43,16 +43,26 @@ class Counters(StreamingQueryListener):
         pass
 
 
-def process_batch(events: DataFrame, state: Snapshot, settings: Settings) -> tuple[DataFrame, DataFrame] | None:
-    """(output, metrics messages) of one window of events(value, ...), or None where it is skipped: no rules, and matched events alone wanted."""
+def tag_batch(events: DataFrame, state: Snapshot, settings: Settings) -> DataFrame | None:
+    """The tagged events of one window of events(value, ...), or None where it is skipped: no rules, and matched events alone wanted."""
     if not state.rules and settings.output_mode == "matched_only":
         return None
-    tagged = tag_events(events, state.rules, state.filters, state.mapping, state.parser)
+    return tag_events(events, state.rules, state.filters, state.mapping, state.parser)
+
+
+def outputs(tagged: DataFrame, state: Snapshot, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """(output, metrics messages) of a window's tagged events."""
     keys = ["k"] if "k" in tagged.columns else []
     output = emitted(tagged, state.rules, settings.output_mode, settings.keep_filtered_events, state.custom_fields, settings.apply_parser_to_output_events)
     return output, metrics_messages(tagged, settings.job_id, by=keys)
 
 
+def process_batch(events: DataFrame, state: Snapshot, settings: Settings) -> tuple[DataFrame, DataFrame] | None:
+    """Both in one go; who writes both should keep the tagged events in between."""
+    tagged = tag_batch(events, state, settings)
+    return None if tagged is None else outputs(tagged, state, settings)
+
+
 def keyed(events: DataFrame, settings: Settings) -> DataFrame:
     """Events with their key k. Matching is row by row, so keys cause no shuffle; only metrics group by them."""
     buckets = bucket_count(settings.parallelism, settings.key_groups_per_task, settings.autoscaler_enabled, settings.autoscaler_max_parallelism)
@@ -62,23 +72,25 @@ def keyed(events: DataFrame, settings: Settings) -> DataFrame:
 def build_stream(events: DataFrame, control: Callable[[], DataFrame], settings: Settings, write: Writer, write_metrics: Writer | None = None, trigger: dict | None = None) -> StreamingQuery:
     """One query; each micro-batch is a window, read with the control log's state at its start.
 
-    `control` gives the log as a batch table (value, seq). The batch is tagged once for both outputs
-    and kept (memory and disk, dropped after); a lost executor's part of it is made anew.
+    `control` gives the log as a batch table (value, seq). The batch is tagged once for both outputs:
+    its tagged events are kept (memory and disk, dropped after); a lost executor's part of them is made anew.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         state = snapshot(control(), settings.job_id)
         for rule, why in state.errors.items():
             log.warning("rule %s left out: %s", rule, why)
-        batch = keyed(batch, settings).persist()
+        tagged = tag_batch(keyed(batch, settings), state, settings)
+        if tagged is None:
+            return
+        tagged = tagged.persist()
         try:
-            out = process_batch(batch, state, settings)
-            if out is not None:
-                write(out[0], batch_id)
-                if write_metrics is not None:
-                    write_metrics(out[1].select("value"), batch_id)
+            output, metrics = outputs(tagged, state, settings)
+            write(output, batch_id)
+            if write_metrics is not None:
+                write_metrics(metrics.select("value"), batch_id)
         finally:
-            batch.unpersist()
+            tagged.unpersist()
 
     writer = events.select(F.col("value").cast("string").alias("value")).writeStream.foreachBatch(run).option("checkpointLocation", settings.checkpoint_path)
     return writer.trigger(**(trigger or {"processingTime": f"{settings.window_size_seconds} seconds"})).start()

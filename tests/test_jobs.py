@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from emberlog import cli
 from emberlog.config import Settings
 from emberlog.functions.keys import bucket_count, computer_key, hash_key, round_robin_key
-from emberlog.operators.match import tag_events
+from emberlog.operators.match import tag_columns, tag_events
 from emberlog.operators.output import emitted, metrics_messages, select_output
 from emberlog.plans.rules import parse_rule
 from emberlog.sources.kafka import auth_options, sink_options, source_options
@@ -55,6 +55,18 @@ def test_output(spark):
         select_output(tagged, "some")
 
 
+def test_each_event_is_parsed_and_tested_once(spark):
+    def plan(df, kind):
+        return getattr(df._jdf.queryExecution(), kind)().toString()
+
+    df = spark.range(3).selectExpr("to_json(named_struct('a', id)) AS value", "concat('x', id) AS a")
+    rules = [parse_rule(f"detection:\n  s: {{a|contains: x}}\n  t: {{a|contains: '{i}'}}\n  condition: s and t", f"r{i}") for i in range(20)]
+    for mode in ("matched_only", "all_events"):
+        assert plan(select_output(tag_columns(df, rules), mode), "optimizedPlan").count("lower(") == 1
+        assert plan(emitted(tag_events(df, rules), rules, mode), "executedPlan").count("ArrowEvalPython") == 2  # to parse, to merge
+    assert select_output(tag_columns(df, rules)).count() == 3
+
+
 def test_parser(spark):
     df = spark.createDataFrame([('{"raw":"{\\"a\\":1}"}',), ('{"raw":"{"}',)], "value string")
     r = parse_rule(TEXT, "r1")
@@ -83,6 +95,8 @@ def test_settings(tmp_path):
             Settings(**bad)
     with pytest.raises(SystemExit):
         cli.parse(["--job-id", "j"], {})
+    s = cli.parse(["--job-id", "j"], {"KAFKA_INPUT_TOPICS": "a", "INPUT_TOPICS": "b", "KAFKA_OUTPUT_TOPIC": "o", "KAFKA_RULES_TOPIC": "r", "METRICS_TOPIC": "m"})
+    assert (s.input_topics, s.output_topic, s.rules_topic, s.metrics_topic) == (["a"], "o", "r", "m")
     pem = tmp_path / "c.pem"
     pem.write_text("PEM")
     ssl = Settings(kafka_auth_method="SSL", kafka_ssl_ca_location="ca", kafka_ssl_certificate_location=str(pem), kafka_ssl_key_location=str(pem), kafka_ssl_check_hostname=False, kafka_ssl_truststore_location="t.jks")
