@@ -60,11 +60,13 @@ class Settings:
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None, **given) -> Settings:
-        """Each setting from the environment under its upper-cased name, over that what is given and not None."""
+        """Each setting from the environment under its upper-cased name (topics under that with KAFKA_ before it, too, which goes first), over that what is given and not None."""
         env = os.environ if env is None else env
         values = {}
         for f in fields(cls):
             text = env.get(f.name.upper())
+            if "topic" in f.name:
+                text = env.get(f"KAFKA_{f.name.upper()}", text)
             if text is None:
                 continue
             if f.name == "input_topics":

@@ -14,27 +14,34 @@ def _pem(path: str | None) -> str | None:
         return None
 
 
+def _sasl(s: Settings) -> dict[str, str | None]:
+    login = f'org.apache.kafka.common.security.plain.PlainLoginModule required username="{s.kafka_api_key}" password="{s.kafka_api_secret}";'
+    return {"security.protocol": "SASL_SSL", "sasl.mechanism": "PLAIN", "sasl.jaas.config": login}
+
+
+def _ssl(s: Settings) -> dict[str, str | None]:
+    """A truststore from the CA's PEM or a JKS file, and an identity where both of its PEM files can be read."""
+    identity = _pem(s.kafka_ssl_certificate_location), _pem(s.kafka_ssl_key_location)
+    chain, key = identity if all(identity) else (None, None)
+    return {
+        "security.protocol": "SSL",
+        "ssl.truststore.type": "JKS" if s.kafka_ssl_truststore_location else "PEM",
+        "ssl.truststore.location": s.kafka_ssl_truststore_location or s.kafka_ssl_ca_location,
+        "ssl.truststore.password": s.kafka_ssl_truststore_password or None,
+        "ssl.keystore.type": "PEM" if chain else None,
+        "ssl.keystore.certificate.chain": chain,
+        "ssl.keystore.key": key,
+        "ssl.keystore.password": s.kafka_ssl_key_password or None,
+        "ssl.endpoint.identification.algorithm": None if s.kafka_ssl_check_hostname else "",
+    }
+
+
+_SECURITY = {"SASL": _sasl, "SSL": _ssl, "PLAINTEXT": lambda s: {"security.protocol": "PLAINTEXT"}}
+
+
 def auth_options(s: Settings) -> dict[str, str]:
-    """Security properties for SASL, SSL (PEM contents, or a JKS truststore over them) and PLAINTEXT."""
-    if s.kafka_auth_method == "SASL":
-        login = f'org.apache.kafka.common.security.plain.PlainLoginModule required username="{s.kafka_api_key}" password="{s.kafka_api_secret}";'
-        props = {"security.protocol": "SASL_SSL", "sasl.mechanism": "PLAIN", "sasl.jaas.config": login}
-    elif s.kafka_auth_method == "SSL":
-        props = {"security.protocol": "SSL", "ssl.truststore.type": "PEM", "ssl.truststore.location": s.kafka_ssl_ca_location}
-        chain, key = _pem(s.kafka_ssl_certificate_location), _pem(s.kafka_ssl_key_location)
-        if chain and key:
-            props |= {"ssl.keystore.type": "PEM", "ssl.keystore.certificate.chain": chain, "ssl.keystore.key": key}
-        if not s.kafka_ssl_check_hostname:
-            props["ssl.endpoint.identification.algorithm"] = ""
-        if s.kafka_ssl_key_password:
-            props["ssl.keystore.password"] = s.kafka_ssl_key_password
-        if s.kafka_ssl_truststore_location:
-            props |= {"ssl.truststore.type": "JKS", "ssl.truststore.location": s.kafka_ssl_truststore_location}
-        if s.kafka_ssl_truststore_password:
-            props["ssl.truststore.password"] = s.kafka_ssl_truststore_password
-    else:
-        props = {"security.protocol": "PLAINTEXT"}
-    return {f"kafka.{k}": v for k, v in props.items()}
+    """The security properties of the settings' method; those without a value are left out."""
+    return {f"kafka.{name}": value for name, value in _SECURITY[s.kafka_auth_method](s).items() if value is not None}
 
 
 def source_options(s: Settings, topics: list[str], offsets: str | None = None, batch: bool = False) -> dict[str, str]:
