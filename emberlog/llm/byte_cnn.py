@@ -49,85 +49,110 @@ def _places(raw: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(text, WIDTH)[::STRIDE][:n]
 
 
-def _pool(act: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Mean, mean square and maximum of the activations in each half chunk; starts and sizes of the halves."""
-    starts = np.arange(0, len(act), HALF)
-    sizes = np.diff(np.append(starts, len(act))).astype(np.float32)
-    return np.add.reduceat(act, starts), np.maximum.reduceat(act, starts), starts, sizes
-
-
-def _chunks(sums: np.ndarray, squares: np.ndarray, most: np.ndarray, sizes: np.ndarray):
-    """Chunks of two neighbouring halves, so that each overlaps the next by half; a single half is one chunk."""
-    if len(sizes) > 1:
-        total = sizes[:-1] + sizes[1:]
-        mean, square = (sums[:-1] + sums[1:]) / total[:, None], (squares[:-1] + squares[1:]) / total[:, None]
-        return mean, square, np.maximum(most[:-1], most[1:]), total
-    return sums / sizes[:, None], squares / sizes[:, None], most, sizes
+class _Layout:
+    """Several texts' filter places one after the other, each text padded to whole halves, and what is a half, a chunk and a text of them.
 
+    A chunk is two neighbouring halves of a text, so that each overlaps the next by half; a single half is one chunk.
+    """
 
-def _activations(view: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
-    x = m["embed"][view].reshape(-1, WIDTH * CHANNELS)
+    def __init__(self, raws: list[bytes]):
+        views = [_places(raw) for raw in raws]
+        halves = np.array([-(-len(v) // HALF) for v in views])
+        ends = np.cumsum(halves)
+        self.view = np.zeros((int(ends[-1]) * HALF, WIDTH), np.uint8)
+        self.sizes = np.full(int(ends[-1]), HALF, np.float32)
+        for v, h, end in zip(views, halves, ends):
+            self.view[(end - h) * HALF : (end - h) * HALF + len(v)] = v
+            self.sizes[end - 1] = len(v) - (h - 1) * HALF
+        single = np.repeat(halves == 1, halves)
+        inner = np.ones(int(ends[-1]), bool)
+        inner[ends - 1] = False
+        self.left = np.flatnonzero(inner | single)
+        self.pair = inner[self.left]
+        self.right = np.where(self.pair, self.left + 1, self.left)
+        self.total = self.sizes[self.left] + self.sizes[self.right] * self.pair
+        self.chunks = np.maximum(1, halves - 1)
+        self.first = np.cumsum(self.chunks) - self.chunks
+
+    def blocks(self) -> Iterator[tuple[slice, slice]]:
+        """Halves, and their places, that go through at once."""
+        step = BLOCK // HALF
+        for at in range(0, len(self.sizes), step):
+            end = min(at + step, len(self.sizes))
+            yield slice(at, end), slice(at * HALF, end * HALF)
+
+    def both(self, x: np.ndarray) -> np.ndarray:
+        """The sum over the halves of each chunk."""
+        return x[self.left] + x[self.right] * self.pair[:, None]
+
+    def spread(self, d: np.ndarray) -> np.ndarray:
+        """Each chunk's row added to its halves."""
+        out = np.zeros((len(self.sizes), d.shape[1]), d.dtype)
+        out[self.left] += d
+        out[self.right[self.pair]] += d[self.pair]
+        return out
+
+
+def _activations(view: np.ndarray, sizes: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The filters' inputs, and their activations by half; padding is zero."""
+    x = np.take(m["embed"], view, axis=0).reshape(-1, WIDTH * CHANNELS)
     act = x @ m["conv"]
     act += m["conv_b"]
-    return x, np.maximum(act, 0, out=act)
-
-
-def _forward(raw: bytes, m: Model, keep: bool = False):
-    """Probability of one text; with keep, what the backward pass needs. A very long text goes through in blocks of halves."""
-    view = _places(raw)
-    parts, last = [], None
-    for at in range(0, len(view), BLOCK):
-        last = _activations(view[at : at + BLOCK], m)
-        sums, most, starts, sizes = _pool(last[1])
-        parts.append((sums, np.add.reduceat(last[1] * last[1], starts), most, sizes))
-    sums, squares, most, sizes = (np.concatenate(p) for p in zip(*parts)) if len(parts) > 1 else parts[0]
-    mean, square, top, total = _chunks(sums, squares, most, sizes)
-    pooled = np.concatenate([mean, square, top], 1)
+    np.maximum(act, 0, out=act)
+    act = act.reshape(-1, HALF, FILTERS)
+    for k in np.flatnonzero(sizes < HALF):
+        act[k, int(sizes[k]) :] = 0
+    return x, act
+
+
+def _forward(raws: list[bytes], m: Model, keep: bool = False):
+    """Probabilities of the texts; with keep, what the backward pass needs. Activations are made block by block, so long texts need no more."""
+    layout, parts = _Layout(raws), []
+    for halves, places in layout.blocks():
+        last = _activations(layout.view[places], layout.sizes[halves], m)
+        parts.append((last[1].sum(1), np.einsum("hpf,hpf->hf", last[1], last[1]), last[1].max(1)))
+    sums, squares, most = (np.concatenate(p) for p in zip(*parts))
+    top = np.maximum(most[layout.left], most[layout.right])
+    pooled = np.concatenate([layout.both(sums) / layout.total[:, None], layout.both(squares) / layout.total[:, None], top], 1)
     hidden = np.maximum(pooled @ m["dense"] + m["dense_b"], 0)
-    both = np.concatenate([hidden.max(0), hidden.mean(0)])
-    z = float(both @ m["out"] + m["out_b"][0])
-    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return (p, (view, last, most, sizes, total, pooled, hidden, both)) if keep else p
-
-
-def _gradients(raw: bytes, y: float, m: Model, weight: float) -> tuple[float, Model]:
-    """Probability and gradients; a text of several blocks has its activations computed again block by block."""
-    p, (view, last, most, sizes, total, pooled, hidden, both) = _forward(raw, m, keep=True)
-    dz = np.float32((p - y) * weight)
-    g = {"out": dz * both, "out_b": np.array([dz], np.float32)}
-    d_both = dz * m["out"]
-    d_hidden = np.repeat(d_both[None, HIDDEN:] / len(hidden), len(hidden), 0)
-    d_hidden[hidden.argmax(0), np.arange(HIDDEN)] += d_both[:HIDDEN]
+    both = np.concatenate([np.maximum.reduceat(hidden, layout.first), np.add.reduceat(hidden, layout.first) / layout.chunks[:, None]], 1).astype(hidden.dtype)
+    z = both @ m["out"] + m["out_b"][0]
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
+    return (p, (layout, last, most, pooled, hidden, both)) if keep else p
+
+
+def _gradients(raws: list[bytes], y: np.ndarray, m: Model, weights: np.ndarray) -> tuple[np.ndarray, Model]:
+    """Probabilities, and gradients of the texts' weighted losses in sum; where there are several blocks, activations are computed again."""
+    p, (layout, last, most, pooled, hidden, both) = _forward(raws, m, keep=True)
+    dz = ((p - y) * weights).astype(hidden.dtype)
+    g = {"out": both.T @ dz, "out_b": dz.sum(keepdims=True)}
+    d_both = dz[:, None] * m["out"]
+    d_hidden = np.repeat(d_both[:, HIDDEN:] / layout.chunks[:, None].astype(hidden.dtype), layout.chunks, 0)
+    # a maximum's gradient goes to its first place
+    places = np.arange(len(hidden))[:, None]
+    at = np.minimum.reduceat(np.where(hidden == np.repeat(both[:, :HIDDEN], layout.chunks, 0), places, len(hidden)), layout.first)
+    d_hidden[at, np.arange(HIDDEN)] += d_both[:, :HIDDEN]
     d_hidden *= hidden > 0
     g["dense"], g["dense_b"] = pooled.T @ d_hidden, d_hidden.sum(0)
     d_pooled = d_hidden @ m["dense"].T
-    d_mean, d_square, d_top = d_pooled[:, :FILTERS] / total[:, None], d_pooled[:, FILTERS : 2 * FILTERS] / total[:, None], d_pooled[:, 2 * FILTERS :]
-    halves = len(sizes)
-    s_mean, s_square, s_top = (np.zeros((halves, FILTERS), np.float32) for _ in range(3))
-    for shift in (0, 1) if halves > 1 else (0,):
-        s_mean[shift : shift + len(d_mean)] += d_mean
-        s_square[shift : shift + len(d_mean)] += d_square
-    if halves > 1:  # the maximum's gradient goes to its first place in the chunk
-        first = most[:-1] >= most[1:]
-        s_top[:-1] += np.where(first, d_top, 0)
-        s_top[1:] += np.where(first, 0, d_top)
-    else:
-        s_top += d_top
+    d_pooled[:, : 2 * FILTERS] /= layout.total[:, None]
+    s_mean, s_square = layout.spread(d_pooled[:, :FILTERS]), layout.spread(d_pooled[:, FILTERS : 2 * FILTERS])
+    d_top, s_top = d_pooled[:, 2 * FILTERS :], np.zeros_like(most)
+    earlier = most[layout.left] >= most[layout.right]
+    s_top[layout.left] += np.where(earlier, d_top, 0)
+    s_top[layout.right] += np.where(earlier, 0, d_top)
     g["conv"], g["conv_b"], g["embed"] = 0, 0, 0
-    for at in range(0, len(view), BLOCK):
-        part = view[at : at + BLOCK]
-        x, act = last if len(view) <= BLOCK else _activations(part, m)
-        own = slice(at // HALF, at // HALF + -(-len(part) // HALF))
-        owner = np.repeat(np.arange(own.start, own.stop), sizes[own].astype(int))
-        d_act = s_mean[owner] + 2 * act * s_square[owner]
-        for k in range(own.start, own.stop):
-            lo = k * HALF - at
-            d_act[lo + act[lo : lo + HALF].argmax(0), np.arange(FILTERS)] += s_top[k]
+    for halves, places in layout.blocks():
+        x, act = last if len(layout.sizes) * HALF <= BLOCK else _activations(layout.view[places], layout.sizes[halves], m)
+        d_act = act * (2 * s_square[halves][:, None, :])
+        d_act += s_mean[halves][:, None, :]
+        d_act[np.arange(len(act))[:, None], act.argmax(1), np.arange(FILTERS)] += s_top[halves]
         d_act *= act > 0
+        d_act = d_act.reshape(-1, FILTERS)
         g["conv"], g["conv_b"] = g["conv"] + x.T @ d_act, g["conv_b"] + d_act.sum(0)
         d_x = (d_act @ m["conv"].T).reshape(-1, CHANNELS)
-        flat = part.ravel()
-        g["embed"] = g["embed"] + np.stack([np.bincount(flat, d_x[:, c], 256) for c in range(CHANNELS)], 1).astype(np.float32)
+        flat = layout.view[places].ravel()
+        g["embed"] = g["embed"] + np.stack([np.bincount(flat, d_x[:, c], 256) for c in range(CHANNELS)], 1).astype(d_x.dtype)
     return p, g
 
 
@@ -136,16 +161,15 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 8, size: int = 16,
     m, rng = new_model(seed), np.random.default_rng(seed)
     if not texts:
         return m
-    share = np.clip(np.mean(labels), 1e-3, 1 - 1e-3)
-    weights = np.where(np.asarray(labels) == 1, 0.5 / share, 0.5 / (1 - share))
+    labels = np.asarray(labels, np.float64)
+    share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
+    weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     first, second, step, steps = {k: np.zeros_like(v) for k, v in m.items()}, {k: np.zeros_like(v) for k, v in m.items()}, 0, epochs * -(-len(texts) // size)
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), size):
-            total: Model = {k: np.zeros_like(v) for k, v in m.items()}
-            for i in order[at : at + size]:
-                for k, v in _gradients(texts[i], float(labels[i]), m, float(weights[i]) / size)[1].items():
-                    total[k] += v
+            rows = order[at : at + size]
+            total = _gradients([texts[i] for i in rows], labels[rows], m, weights[rows] / size)[1]
             step += 1
             rate = 4e-3 * (1 - step / (steps + 1))
             for k in m:
@@ -155,8 +179,16 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 8, size: int = 16,
     return m
 
 
-def score(raw: bytes, model: Model) -> float:
-    return float(_forward(raw, model))
+def score(raws: list[bytes | None], model: Model) -> np.ndarray:
+    """Probabilities of the texts, null ones as empty; as many go through together as fill a block."""
+    out, waiting, size = np.zeros(len(raws)), [], 0
+    for i, raw in enumerate(raws):
+        waiting.append(raw or b"")
+        size += len(waiting[-1]) // STRIDE + HALF
+        if size >= BLOCK or i + 1 == len(raws):
+            out[i + 1 - len(waiting) : i + 1] = _forward(waiting, model)
+            waiting, size = [], 0
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -175,7 +207,7 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = np.array([score(raw or b"", shared.value) for raw in common.binary(b.column(1))], np.float64)
+            scores = score(common.binary(b.column(1)), shared.value)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return common.mapped(source, run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
@@ -187,7 +219,7 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([score(raw or b"", shared.value) >= THRESHOLD for raw in common.binary(b.column(at))], pa.bool_()))
+            yield b.filter(pa.array(score(common.binary(b.column(at)), shared.value) >= THRESHOLD))
 
     return common.mapped(docs, run, docs.schema)
 

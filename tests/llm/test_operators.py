@@ -287,12 +287,12 @@ def test_toxicity_features_are_of_characters():
 def test_cnn_gradients():
     m = {k: v.astype(np.float64) for k, v in byte_cnn.new_model(3).items()}
     raw = bytes(np.random.default_rng(0).integers(32, 120, 1500, dtype=np.uint8))
-    g = byte_cnn._gradients(raw, 1.0, m, 1.0)[1]
+    g = byte_cnn._gradients([raw], np.ones(1), m, np.ones(1))[1]
     for k, at in {"embed": (raw[5], 2), "conv": (3, 4), "dense": (40, 5), "out": (2,), "out_b": (0,)}.items():
         old, loss = m[k][at], []
         for d in (1e-5, -1e-5):
             m[k][at] = old + d
-            loss.append(-np.log(byte_cnn._forward(raw, m)))
+            loss.append(-np.log(byte_cnn._forward([raw], m)[0]))
         m[k][at] = old
         assert abs((loss[0] - loss[1]) / 2e-5 - g[k][at]) < 1e-4
 
@@ -306,9 +306,9 @@ def test_cnn_learns_from_whole_texts(spark, monkeypatch):
         byte_cnn.train(docs, labels)
     assert sorted(seen) == sorted(t.encode() for i, t in texts.items() if not common.is_held_out(i, nb_linear.MODULUS))
     m, raw = {k: v.astype(np.float64) for k, v in byte_cnn.new_model(3).items()}, bytes(np.random.default_rng(0).integers(32, 120, 3000, dtype=np.uint8))
-    p, whole = byte_cnn._gradients(raw, 1.0, m, 1.0)
+    p, whole = byte_cnn._gradients([raw], np.ones(1), m, np.ones(1))
     monkeypatch.setattr(byte_cnn, "BLOCK", 2 * byte_cnn.HALF)
-    q, blocks = byte_cnn._gradients(raw, 1.0, m, 1.0)
+    q, blocks = byte_cnn._gradients([raw], np.ones(1), m, np.ones(1))
     assert abs(p - q) < 1e-9 and all(np.allclose(whole[k], blocks[k], atol=1e-6) for k in m)
 
 
