@@ -101,9 +101,9 @@ def score(raw: bytes, weights: np.ndarray, bias: float) -> float:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, modulus: int = MODULUS) -> list:
     """At most about `sample` rows of each class, chosen by a hash of the id, never those held out.
 
-    Rows with a null id, text or label are not learnt from; of an id's rows, the least text is. Texts count whole.
+    Rows with a null id, text or label are not learnt from; of an id's rows, the least text and the least label are. Texts count whole.
     """
-    rows = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id"), modulus)).dropDuplicates(["doc_id"])
+    rows = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id"), modulus)).groupBy("doc_id").agg(F.min("y").alias("y"))
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     keep = F.lit(False)
