@@ -7,6 +7,7 @@ import hashlib
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,12 @@ from . import common
 #: those not met again while as many others came are dropped. Together these take some 500 MB in a Python worker at most.
 MOST_STATES = 300_000
 MOST_PIECES = 700_000
+#: Pairs of tokens known to be neighbours or not: as many for each state as this, at most.
+PAIRS = 2
+#: Rows that are written together.
+ROWS = 200
+#: Characters from which on a text goes through in blocks, of a quarter as many pre-tokens.
+LONG = 1 << 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -76,7 +83,7 @@ class Transducer:
         key = (last + 1) << 32 | token
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 600_000:
+            if len(self.pairs) > PAIRS * self.most:
                 self.pairs.clear()
             second = self.token[token]
             expected = [second] if last < 0 else [self.token[last], second]
@@ -165,12 +172,12 @@ class Encoder:
 
     def encode(self, text: str) -> Iterator[str]:
         """Blocks of decimal ids joined by spaces; a block never ends inside a pre-token."""
-        if len(text) < 1 << 20:
+        if len(text) < LONG:
             if found := self.find.findall(text):
                 yield " ".join(map(self.pieces.__getitem__, found))
             return
         matches = (m.group() for m in self.find.finditer(text))
-        while block := list(islice(matches, 1 << 16)):
+        while block := list(islice(matches, LONG >> 2)):
             yield " ".join(map(self.pieces.__getitem__, block))
 
     def decode(self, ids: str) -> bytes:
@@ -207,7 +214,7 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-def encode_row(machine: Encoder, raw: bytes | None, ids: bool = False, text: bool = False) -> tuple[int, str, str, list[int], str]:
+def encode_row(machine: Encoder, raw: bytes | None, ids: bool = False, text: bool = False) -> tuple[int, str, str, np.ndarray, str]:
     """Number of tokens, digest of the ids and of what the UTF-8 stream gives for them, and on request the ids and that text."""
     count, id_hash, text_hash, all_ids, all_text, stream = 0, hashlib.sha256(), hashlib.sha256(), [], [], Utf8Stream()
     for block in machine.encode(raw.decode("utf-8", "replace")) if raw else ():
@@ -216,12 +223,12 @@ def encode_row(machine: Encoder, raw: bytes | None, ids: bool = False, text: boo
         decoded = stream.feed(machine.decode(block))
         text_hash.update(decoded.encode())
         if ids:
-            all_ids += map(int, block.split(" "))
+            all_ids.append(np.fromstring(block, np.int32, sep=" "))
         if text:
             all_text.append(decoded)
     rest = stream.close()
     text_hash.update(rest.encode())
-    return count, id_hash.hexdigest(), text_hash.hexdigest(), all_ids, "".join([*all_text, rest]) if text else ""
+    return count, id_hash.hexdigest(), text_hash.hexdigest(), np.concatenate([np.zeros(0, np.int32), *all_ids]), "".join([*all_text, rest]) if text else ""
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -251,14 +258,16 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = encoder(path, pattern, states, pieces)
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
                 rows: list[list] = [[], [], [], [], []]
                 for raw in common.binary(part.column(1)):
                     for column, value in zip(rows, encode_row(machine, raw, ids, text)):
                         column.append(value)
                 arrays = [part.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]
-                arrays += [pa.array(rows[3], pa.list_(pa.int32()))] * ids + [pa.array(rows[4], pa.string())] * text
+                if ids:
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows[3])]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *rows[3]]))))
+                arrays += [pa.array(rows[4], pa.string())] * text
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids, *["decoded"] * text])
         if not keep:
             del machine
