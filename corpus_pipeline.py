@@ -50,7 +50,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become tokens, which are written; less is remembered than by default, and for a task only, as Python workers go on from stage to stage."""
     _small_batches(spark)
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=True, states=60_000, pieces=100_000, keep=False)
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=True, states=40_000, pieces=60_000, keep=False)
 
 
 STAGES = [("quality_classifier", quality), ("ngram_jaccard_join", near_duplicates), ("substring_dedup", substrings), ("benchmark_decontamination", decontaminate), ("byte_level_bpe", encode)]
