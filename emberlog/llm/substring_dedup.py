@@ -14,7 +14,8 @@ an anchor. The GRAM words from the anchor on are the prefix that partitions the
    leaves below one internal node of that depth, with o equal words on their left, repeat it;
 4. the offsets found go back to the anchors, and from there to the words of each document.
 
-Suffixes with equal words around them are sent at most twice by a task, so copies cost no more.
+Suffixes with equal words around them are sent at most twice by a task, so copies cost no more. On the way
+back a document names each of its surroundings once, with all its places, and each has one row of offsets.
 """
 
 from __future__ import annotations
@@ -132,10 +133,10 @@ def _digest(least: int, before: list[bytes], after: list[bytes]) -> bytes:
 
 
 def _suffix_rows(texts: DataFrame) -> DataFrame:
-    """Rows of three kinds: (k1, k2, place, c) names an anchor kept and the digest c of all words around it;
+    """Rows of three kinds: (k1, k2, places, c) names a document's anchors kept that have the digest c of all words around;
     (g, c, least, most, before, after) is a suffix with these words, to be put into group g;
     (w, c, least) is one below a prefix that spans a whole window, with digest w, at offset least."""
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int64()), ("g", pa.int64()), ("w", pa.binary()), ("c", pa.binary()), ("least", pa.int32()), ("most", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("places", pa.list_(pa.int64())), ("g", pa.int64()), ("w", pa.binary()), ("c", pa.binary()), ("least", pa.int32()), ("most", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
@@ -144,9 +145,10 @@ def _suffix_rows(texts: DataFrame) -> DataFrame:
         rows: list[tuple] = []
         for b in batches:
             for k1, k2, raw, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), common.binary(b.column(2)), b.column(3).to_pylist()):
+                own: dict[bytes, list[int]] = {}
                 for place, n, least, most, before, after in _surroundings(raw, found):
                     c = _digest(least, before, after)
-                    rows.append((k1, k2, place, None, None, c, None, None, None, None))
+                    own.setdefault(c, []).append(place)
                     if sent.get(c):
                         continue
                     if len(sent) > REMEMBERED:
@@ -159,13 +161,14 @@ def _suffix_rows(texts: DataFrame) -> DataFrame:
                     for o in range(least, most + 1):
                         w = _digest(o, before[len(before) - o :], after[: WINDOW - o])
                         rows.append((None, None, None, None, w, c, o, None, None, None))
+                rows += [(k1, k2, sorted(places), None, None, c, None, None, None, None) for c, places in own.items()]
                 if len(rows) > 20_000:
                     yield common.batch(schema, list(zip(*rows)))
                     rows = []
         if rows:
             yield common.batch(schema, list(zip(*rows)))
 
-    return common.mapped(texts.select("_k1", "_k2", "text", "anchors"), run, "k1 long, k2 long, place long, g long, w binary, c binary, least int, most int, before binary, after binary")
+    return common.mapped(texts.select("_k1", "_k2", "text", "anchors"), run, "k1 long, k2 long, places array<long>, g long, w binary, c binary, least int, most int, before binary, after binary")
 
 
 def _tree_rows(suffixes: DataFrame) -> DataFrame:
@@ -229,8 +232,8 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
     whole = suffixes.where("w IS NOT NULL").select("w", "c", "least")
     several = whole.groupBy("w").agg(F.count("*").alias("n")).where("n > 1")
     trees = trees.unionByName(whole.join(several, "w").select("c", F.expr("shiftleft(1L, least)").alias("bits")))
-    links = suffixes.where("k1 IS NOT NULL").select("c", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "place")
-    marks = links.join(trees.distinct(), "c").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("place", "bits")).alias("marks"))
+    links = suffixes.where("k1 IS NOT NULL").select("c", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "places")
+    marks = links.join(trees.groupBy("c").agg(F.bit_or("bits").alias("bits")), "c").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("places", "bits")).alias("marks"))
     marks = common.saved(marks, "marks")
     common.drop(suffixes)
     rec_type = rows.schema["rec"].dataType.simpleString()
@@ -244,9 +247,9 @@ def remove_repeats(docs: DataFrame, carry: list[str], texts: bool = False) -> Da
                 if marks:
                     edge = np.zeros(len(words) + 1, np.int64)
                     for m in marks:
-                        bits = m["bits"]
+                        places, bits = np.array(m["places"], np.int64), m["bits"]
                         while bits:
-                            start = m["place"] - (bits & -bits).bit_length() + 1
+                            start = places - (bits & -bits).bit_length() + 1
                             edge[start] += 1
                             edge[start + WINDOW] -= 1
                             bits &= bits - 1

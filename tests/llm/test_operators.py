@@ -53,6 +53,36 @@ def test_substrings_of_hot_prefixes(spark, monkeypatch):
     assert found[0] == found[1] and any(r[1] for r in found[0])
 
 
+def rows_joined(spark, run):
+    """The most rows that one join made while run() ran, by Spark's own count."""
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    most = 0
+    for n in range(before, store.executionsCount()):
+        i = store.executionsList().apply(n).executionId()
+        values, nodes = store.executionMetrics(i), store.planGraph(i).allNodes()
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            metrics = node.metrics()
+            for m in (metrics.apply(k) for k in range(metrics.size())):
+                if "Join" in node.name() and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most
+
+
+def test_substrings_of_a_frequent_line(spark, monkeypatch):
+    """A line that fills texts: no join makes more rows than there are anchors, one for each time the line occurs."""
+    monkeypatch.setattr(substring_dedup, "GROUP", 2)
+    line, n = " ".join(f"l{j}" for j in range(12)), 40
+    df = spark.createDataFrame([(i, f"u{i} " + f"{line} " * 60 + f"v{i}") for i in range(n)], "doc_id long, text string")
+    out = []
+    made = rows_joined(spark, lambda: out.extend(substring_dedup.remove_repeats(df, ["doc_id"]).collect()))
+    assert {(r.n_words, r.n_removed) for r in out} == {(722, 720)}
+    assert 0 < made <= 60 * n
+
+
 def brute_links(rows, width, num, den):
     sets = []
     for _, t in rows:
