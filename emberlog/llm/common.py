@@ -46,11 +46,11 @@ class _Saved(threading.local):
 _SAVED = _Saved()
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write df to the shared folder and read it back; this cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/emberlog-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     _SAVED.paths.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_at = path

@@ -162,6 +162,24 @@ def test_top_k(spark):
     assert ball_tree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_in_rounds(spark, monkeypatch):
+    """Many shards and rounds of queries: the result is that of brute force, and no join repeats queries for each shard."""
+    for name, value in {"SHARD": 16, "LEAF": 4, "BLOCK": 4, "ROUND": 16}.items():
+        monkeypatch.setattr(ball_tree, name, value)
+    n = 4000
+    x = np.random.default_rng(3).integers(-40, 40, (n, 3))
+    df = spark.createDataFrame([(i, [float(c) / 256 for c in r]) for i, r in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    out = []
+    made = rows_joined(spark, lambda: out.extend(collected(ball_tree.top_k(df), "query_id", "rank", "vec_id", "score")))
+    expected = []
+    for i in range(0, n, 50):
+        scores = x @ x[i]
+        best = [j for j in np.lexsort((np.arange(n), -scores)).tolist() if j != i][:5]
+        expected += [(i, r, j, int(scores[j])) for r, j in enumerate(best, 1)]
+    assert out == sorted(expected, key=str)
+    assert made < n
+
+
 def test_bpe(docs, empty):
     enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
     expected = []
